@@ -61,6 +61,15 @@ def _split_digit(dist: Column, outer: float, inner: float) -> Column:
     return F.round((F.pmod(dist, F.lit(outer)) - F.pmod(dist, F.lit(inner))) / F.lit(inner)).cast("int")
 
 
+def inside_grid(x: Column | str, y: Column | str) -> Column:
+    """True exactly where :func:`tile_of_xy` gives a name (rows K..X,
+    columns 2..6): a plain bounding box, cheap to evaluate and to push down."""
+    x0 = ORIGIN_X + 2 * _EAST_STEPS[0]
+    x1 = ORIGIN_X + 7 * _EAST_STEPS[0]
+    y1 = ORIGIN_Y + len(ROW_LETTERS) * _NORTH_STEPS[0]
+    return (_c(x) >= x0) & (_c(x) < x1) & (_c(y) >= ORIGIN_Y) & (_c(y) < y1)
+
+
 def tile_of_xy(x: Column | str, y: Column | str) -> Column:
     """Level-9 tile name of a point; null outside rows K..X / columns 2..6."""
     north = _c(y) - F.lit(ORIGIN_Y)
@@ -91,9 +100,10 @@ def tile_level(tile: Column | str) -> Column:
     return expr.otherwise(F.lit(-1))
 
 
-def tile_size(tile: Column | str) -> tuple[Column, Column]:
-    """(width, height) in metres; nulls for a malformed name."""
-    level = tile_level(tile)
+def tile_size(tile: Column | str, level: Column | str | None = None) -> tuple[Column, Column]:
+    """(width, height) in metres; nulls for a malformed name. Pass a computed
+    ``level`` column to avoid re-evaluating the name patterns."""
+    level = tile_level(tile) if level is None else _c(level)
     widths = F.array(*[F.lit(w) for w, _ in LEVEL_SIZES])
     heights = F.array(*[F.lit(h) for _, h in LEVEL_SIZES])
     ok = level >= 0
@@ -117,16 +127,17 @@ def tile_rollup(tile: Column | str) -> Column:
             left = "ABCD" if i == 3 else "12"
             names.append(F.concat(prefix, F.when(nxt.isin(*left), F.lit("L")).otherwise(F.lit("R"))))
     names.append(t)
-    return F.when(tile_level(t) == 9, F.array(*names))
+    return F.when(t.rlike(LEVEL_PATTERNS[9][1]), F.array(*names))
 
 
-def tile_anchor(tile: Column | str, anchor: str = "sw") -> tuple[Column, Column]:
+def tile_anchor(tile: Column | str, anchor: str = "sw",
+                level: Column | str | None = None) -> tuple[Column, Column]:
     """(x, y) of a corner, edge middle or centre of a tile; nulls if malformed."""
     if anchor not in ANCHORS:
         raise ValueError(f"unknown anchor {anchor!r}; expected one of {sorted(ANCHORS)}")
     fx, fy = ANCHORS[anchor]
     t = _c(tile)
-    level = tile_level(t)
+    level = tile_level(t) if level is None else _c(level)
 
     def ch(i: int) -> Column:
         return F.substring(t, i + 1, 1)
@@ -146,7 +157,7 @@ def tile_anchor(tile: Column | str, anchor: str = "sw") -> tuple[Column, Column]
     y = (F.lit(ORIGIN_Y) + row * 96000.0
          + flag(2, "24") * 48000.0 + flag(3, "24") * 24000.0 + flag(4, "24") * 12000.0
          + flag(5, "BDFH") * 6000.0 + flag(6, "24") * 3000.0)
-    w, h = tile_size(t)
+    w, h = tile_size(t, level)
     ok = level >= 0
     return (F.when(ok, x + F.lit(fx) * w.cast("double")),
             F.when(ok, y + F.lit(fy) * h.cast("double")))

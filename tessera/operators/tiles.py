@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.tiles import tile_anchor, tile_level, tile_of_xy, tile_rollup, tile_size
+from tessera.functions.tiles import inside_grid, tile_anchor, tile_level, tile_of_xy, tile_rollup, tile_size
 
 
 def with_tile(df: DataFrame, x: str = "X", y: str = "Y", out: str = "tile", level: int = 9) -> DataFrame:
-    """Adds the tile name of each point at ``level`` (null outside the grid)."""
-    t = tile_of_xy(x, y)
-    if level != 9:
-        t = F.element_at(tile_rollup(t), level + 1)
-    return df.withColumn(out, t)
+    """Adds the tile name of each point at ``level`` (null outside the grid).
+
+    The level-9 name is computed once into its own column; shorter names are
+    cut from that column (Catalyst keeps the projection split instead of
+    copying the whole expression into every prefix).
+    """
+    if level == 9:
+        return df.withColumn(out, tile_of_xy(x, y))
+    full = df.withColumn("_tile9", tile_of_xy(x, y))
+    return full.withColumn(out, F.element_at(tile_rollup("_tile9"), level + 1)).drop("_tile9")
 
 
 def rollup_counts(df: DataFrame, tile_col: str = "tile") -> DataFrame:
@@ -24,17 +29,26 @@ def rollup_counts(df: DataFrame, tile_col: str = "tile") -> DataFrame:
     return exploded.groupBy("level", "tile").agg(F.count(F.lit(1)).alias("n"))
 
 
-def cover(df: DataFrame, tile_col: str = "tile", order_col: str = "id") -> DataFrame:
-    """Distinct tiles covering the points with their first-seen position
-    (``first_id``; order by it for first-seen order) and point count."""
-    return (df.filter(F.col(tile_col).isNotNull())
-            .groupBy(tile_col)
-            .agg(F.min(order_col).alias("first_id"), F.count(F.lit(1)).alias("n")))
-
-
-def describe(df: DataFrame, tile_col: str = "tile", anchor: str = "sw") -> DataFrame:
-    """Level, size and anchor point of each tile name (nulls / -1 if malformed)."""
-    w, h = tile_size(tile_col)
-    ax, ay = tile_anchor(tile_col, anchor)
-    return df.withColumns({"level": tile_level(tile_col), "width": w, "height": h,
-                           "anchor_x": ax, "anchor_y": ay})
+def cover(df: DataFrame, x: str = "X", y: str = "Y", level: int = 9, order_col: str = "id",
+          out: str = "tile") -> DataFrame:
+    """Distinct tiles at ``level`` covering the points, with their first-seen
+    position (``first_id``; order by it for first-seen order) and point
+    count. Points outside the grid are left out by a bounding-box filter
+    before the name is built."""
+    inside = df.select(order_col, x, y).filter(inside_grid(x, y))
+    named = with_tile(inside, x, y, out, level)
+    return named.groupBy(out).agg(F.min(order_col).alias("first_id"), F.count(F.lit(1)).alias("n"))
+
+
+def describe(df: DataFrame, tile_col: str = "tile", anchors=("sw",)) -> DataFrame:
+    """Level, size and anchor points of each tile name (nulls / -1 if
+    malformed). The first anchor goes to ``anchor_x/anchor_y``, others to
+    ``<anchor>_x/<anchor>_y``."""
+    leveled = df.withColumn("level", tile_level(tile_col))
+    w, h = tile_size(tile_col, "level")
+    cols = {"width": w, "height": h}
+    for i, a in enumerate(anchors):
+        ax, ay = tile_anchor(tile_col, a, "level")
+        prefix = "anchor" if i == 0 else a
+        cols[f"{prefix}_x"], cols[f"{prefix}_y"] = ax, ay
+    return leveled.withColumns(cols)

@@ -9,8 +9,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", sep: str = ",") -> None:
+    """Every output file gets its own header line, so any subset of the files
+    reads back with ``header=true``."""
+    df.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
 
 
 def write_centroids(df: DataFrame, path: str, columns: Sequence[str], order_by: str | None = "cluster") -> None:

@@ -37,8 +37,10 @@ def _field(fields: Column, pos: int) -> Column:
 
 def parse_accident_lines(lines: DataFrame, value_col: str = "value",
                          x_pos: int | None = None, y_pos: int | None = None,
-                         day_pos: int | None = None, sep: str = schemas.DELIMITER) -> DataFrame:
-    """Raw accident lines -> (X double, Y double, Vkpv string) by field position.
+                         day_pos: int | None = None, sep: str = schemas.DELIMITER,
+                         id_pos: int | None = None) -> DataFrame:
+    """Raw accident lines -> (X double, Y double, Vkpv string) by field position
+    (plus ``id`` bigint from ``id_pos`` when given).
 
     Header lines (first field equal to the first column name) are dropped in
     every file, not only in the first partition. Non-numeric coordinates
@@ -51,8 +53,9 @@ def parse_accident_lines(lines: DataFrame, value_col: str = "value",
     fields = F.split(F.col(value_col), _regex_literal(sep), -1)
     parsed = lines.select(fields.alias("_f"), *[c for c in lines.columns if c != value_col])
     parsed = parsed.filter(F.coalesce(F.trim(F.col("_f")[0]) != F.lit(header_first), F.lit(True)))
+    extra = [] if id_pos is None else [_field(F.col("_f"), id_pos).try_cast("bigint").alias("id")]
     return parsed.select(
-        *[c for c in parsed.columns if c != "_f"],
+        *[c for c in parsed.columns if c != "_f"], *extra,
         _field(F.col("_f"), x_pos).try_cast("double").alias("X"),
         _field(F.col("_f"), y_pos).try_cast("double").alias("Y"),
         _field(F.col("_f"), day_pos).alias("Vkpv"),

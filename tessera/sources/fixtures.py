@@ -49,6 +49,16 @@ def accident_points(spark: SparkSession, sf_dir: str, with_type: bool = False) -
     return ev.select(*cols)
 
 
+def accident_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a full 102-column accident table (id, weekday name, X, Y
+    filled in; other columns null), typed by the accident schema."""
+    from tessera.sources.schemas import ACCIDENT_SCHEMA
+    pts = accident_points(spark, sf_dir)
+    filled = {"Onnett_id": F.col("id").cast("int"), "Vkpv": F.col("Vkpv"), "X": F.col("X"), "Y": F.col("Y")}
+    return pts.select(*[(filled.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name)
+                        for f in ACCIDENT_SCHEMA.fields])
+
+
 def accident_lines(spark: SparkSession, sf_dir: str, with_header: bool = True) -> DataFrame:
     """Raw ``;``-separated lines in the accident table's 102-field layout, one
     per event (id, weekday name, X, Y at their positions; other fields empty)."""
