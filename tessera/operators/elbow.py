@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -22,16 +23,25 @@ ELBOW_SCHEMA = T.StructType([
 
 
 def elbow_kmeans(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEFAULT_KS,
-                 seed: int = 1) -> DataFrame:
+                 seed: int = 1, concurrent_fits: int = 4) -> DataFrame:
     """MLlib k-means for every k on one persisted feature table; cost = Σ
-    Euclidean distance of each point to its cluster's member mean."""
+    Euclidean distance of each point to its cluster's member mean.
+
+    The fits are independent, so up to ``concurrent_fits`` of them are
+    submitted from driver threads at once (Spark schedules the concurrent
+    jobs on the same executors). Each fit is seeded, so the curve does not
+    depend on the concurrency.
+    """
     vec = for_reuse(assemble(df.select(*features), features))
+
+    def one(k: int):
+        _, pred = fit_kmeans(vec, features, k, seed=seed, assembled=True)
+        cost = sum_distance_to_mean(pred, features, "prediction", max_groups=k).first()["cost"]
+        return (int(k), float(cost) if cost is not None else None, "sum_distance")
+
     try:
-        rows = []
-        for k in ks:
-            _, pred = fit_kmeans(vec, features, k, seed=seed, assembled=True)
-            cost = sum_distance_to_mean(pred, features, "prediction", max_groups=k).first()["cost"]
-            rows.append((int(k), float(cost) if cost is not None else None, "sum_distance"))
+        with ThreadPoolExecutor(max_workers=max(1, concurrent_fits)) as pool:
+            rows = list(pool.map(one, ks))
     finally:
         release(vec)
     return df.sparkSession.createDataFrame(rows, ELBOW_SCHEMA)
