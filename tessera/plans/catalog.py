@@ -31,7 +31,7 @@ from tessera.plans import pipelines as PL
 from tessera.session import scratch_path
 from tessera.sinks.csv import write_csv
 from tessera.sources import fixtures as FX
-from tessera.sources.delimited import parse_accident_lines, read_accidents, read_coordinates
+from tessera.sources.delimited import read_accident_lines, read_accidents, read_coordinates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,7 +77,9 @@ def q_points_clean(spark, sf):
 
 
 def q_raw_line_parse(spark, sf):
-    parsed = parse_accident_lines(FX.accident_lines(spark, sf), id_pos=0)
+    path = scratch_path(spark, "accident-lines")
+    FX.accident_lines(spark, sf).write.text(path)
+    parsed = read_accident_lines(spark, path)
     return complete_rows(parsed, ["X", "Y", "Vkpv"]).select("id", "X", "Y", "Vkpv")
 
 

@@ -30,41 +30,51 @@ def read_table(spark: SparkSession, path: str, schema, encoding: str = "UTF-8")
 
 
 def _field(fields: Column, pos: int) -> Column:
-    """Trimmed field at 0-based ``pos``; missing or empty -> null."""
-    v = F.trim(F.try_element_at(fields, F.lit(pos + 1)))
-    return F.when(F.length(v) > 0, v)
+    """Trimmed field at 0-based ``pos`` of a split line; missing or empty -> null."""
+    return F.nullif(F.trim(F.try_element_at(fields, F.lit(pos + 1))), F.lit(""))
 
 
 def parse_accident_lines(lines: DataFrame, value_col: str = "value",
                          x_pos: int | None = None, y_pos: int | None = None,
                          day_pos: int | None = None, sep: str = schemas.DELIMITER,
                          id_pos: int | None = None) -> DataFrame:
-    """Raw accident lines -> (X double, Y double, Vkpv string) by field position
-    (plus ``id`` bigint from ``id_pos`` when given).
+    """Lines already in a DataFrame -> (X double, Y double, Vkpv string) by
+    field position (plus ``id`` bigint from ``id_pos`` when given).
 
-    Header lines (first field equal to the first column name) are dropped in
-    every file, not only in the first partition. Non-numeric coordinates
-    become null (``try_cast``) instead of failing the job.
+    Header lines (first field equal to the first column name) are dropped
+    wherever they occur. Non-numeric coordinates become null (``try_cast``)
+    instead of failing the job. For files use :func:`read_accident_lines`,
+    which lets the CSV reader tokenise each line once.
     """
     x_pos = schemas.position_of("X") if x_pos is None else x_pos
     y_pos = schemas.position_of("Y") if y_pos is None else y_pos
     day_pos = schemas.position_of("Vkpv") if day_pos is None else day_pos
     header_first = schemas.ACCIDENT_FIELDS[0][0]
-    fields = F.split(F.col(value_col), _regex_literal(sep), -1)
-    parsed = lines.select(fields.alias("_f"), *[c for c in lines.columns if c != value_col])
-    parsed = parsed.filter(F.coalesce(F.trim(F.col("_f")[0]) != F.lit(header_first), F.lit(True)))
+    keep = [c for c in lines.columns if c != value_col]
+    split = lines.select(*keep, F.split(F.col(value_col), _regex_literal(sep), -1).alias("_f"))
+    body = split.filter(F.coalesce(_field(F.col("_f"), 0) != F.lit(header_first), F.lit(True)))
     extra = [] if id_pos is None else [_field(F.col("_f"), id_pos).try_cast("bigint").alias("id")]
-    return parsed.select(
-        *[c for c in parsed.columns if c != "_f"], *extra,
+    return body.select(
+        *keep, *extra,
         _field(F.col("_f"), x_pos).try_cast("double").alias("X"),
         _field(F.col("_f"), y_pos).try_cast("double").alias("Y"),
         _field(F.col("_f"), day_pos).alias("Vkpv"),
     )
 
 
-def read_accident_lines(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """Text scan + :func:`parse_accident_lines`."""
-    return parse_accident_lines(spark.read.text(path), **kw)
+def read_accident_lines(spark: SparkSession, path: str, encoding: str = "UTF-8",
+                        with_id: bool = True) -> DataFrame:
+    """Header-less positional scan of accident files: the CSV reader maps
+    fields to the 102-column layout by position (no header names needed),
+    converts only the pruned columns, and a header line found in any file is
+    dropped by its content. Unparseable numbers become null (PERMISSIVE)."""
+    raw = (spark.read.schema(schemas.ACCIDENT_SCHEMA)
+           .option("header", "false").option("sep", schemas.DELIMITER)
+           .option("encoding", encoding).option("mode", "PERMISSIVE")
+           .csv(path))
+    body = raw.filter(F.coalesce(F.col("Vkpv") != F.lit("Vkpv"), F.lit(True)))
+    cols = [F.col("Onnett_id").cast("bigint").alias("id")] if with_id else []
+    return body.select(*cols, "X", "Y", F.nullif(F.trim("Vkpv"), F.lit("")).alias("Vkpv"))
 
 
 def _regex_literal(sep: str) -> str:
