@@ -174,12 +174,12 @@ def q_group_centroids_nd(spark, sf):
 
 def q_cost_l2_sum_2d(spark, sf):
     df, _ = _prep2(spark, sf)
-    return sum_distance_to_mean(df, PL.FEATURES_2D, "event_type", max_groups=64).select(_r("cost", 6).alias("cost"))
+    return sum_distance_to_mean(df, PL.FEATURES_2D, "event_type").select(_r("cost", 6).alias("cost"))
 
 
 def q_cost_l2_sum_4d(spark, sf):
     df, _ = _prep4(spark, sf)
-    return sum_distance_to_mean(df, PL.FEATURES_4D, "event_type", max_groups=64).select(_r("cost", 6).alias("cost"))
+    return sum_distance_to_mean(df, PL.FEATURES_4D, "event_type").select(_r("cost", 6).alias("cost"))
 
 
 def q_cost_sse(spark, sf):
