@@ -12,6 +12,7 @@ from tessera.operators.cost import sum_distance_to_mean
 from tessera.operators.kmeans_ml import assemble, fit_kmeans
 from tessera.operators.lloyd import lloyd_sweep
 from tessera.operators.materialize import for_reuse, release
+from tessera.sources.local import literal_table
 
 DEFAULT_KS = tuple(range(2, 303, 10))  # 2, 12, ..., 302
 
@@ -44,7 +45,7 @@ def elbow_kmeans(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEF
             rows = list(pool.map(one, ks))
     finally:
         release(vec)
-    return df.sparkSession.createDataFrame(rows, ELBOW_SCHEMA)
+    return literal_table(df.sparkSession, rows, ELBOW_SCHEMA)
 
 
 def elbow_lloyd(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEFAULT_KS,
@@ -52,4 +53,4 @@ def elbow_lloyd(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEFA
     """Lloyd for every k (advanced together); cost = within-cluster SSE."""
     res = lloyd_sweep(df, features, ks, tol=tol, max_iter=max_iter, seed=seed, id_col=id_col)
     rows = [(int(k), float(sse), "sse") for k, sse, _ in res]
-    return df.sparkSession.createDataFrame(rows, ELBOW_SCHEMA)
+    return literal_table(df.sparkSession, rows, ELBOW_SCHEMA)

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.distance import squared_distance
 from tessera.operators.materialize import for_reuse, release
+from tessera.sources.local import literal_table
 
 # Largest centroid set (k x d doubles) carried in one plan / task closure.
 CENTROID_VALUE_LIMIT = 4_000_000
@@ -173,7 +174,7 @@ class LloydResult:
                                T.StructField("n", T.LongType(), False)]
                               + [T.StructField(f, T.DoubleType(), True) for f in features])
         rows = [(i, self.sizes[i], *c) for i, c in enumerate(self.centroids)]
-        return spark.createDataFrame(rows, schema)
+        return literal_table(spark, rows, schema)
 
 
 def lloyd(points: DataFrame, features: Sequence[str], k: int | None = None,

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.cyclic import decode_day
 from tessera.functions.tiles import tile_of_xy, tile_rollup
@@ -31,6 +32,7 @@ from tessera.plans import pipelines as PL
 from tessera.session import scratch_path
 from tessera.sinks.csv import write_csv
 from tessera.sources import fixtures as FX
+from tessera.sources.local import literal_table
 from tessera.sources.delimited import read_accident_lines, read_accidents, read_coordinates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,7 +226,9 @@ def q_centroid_shift(spark, sf):
     p = _prep_lloyd(spark, sf)
     res = lloyd(p.df, p.features, k=LLOYD_K, tol=0.0, max_iter=FIXED_PASSES - 1, seed=LLOYD_SEED)
     rows = [(int(i), float(s), float(e)) for i, s, e in res.history]
-    df = spark.createDataFrame(rows, "pass int, shift double, sse double")
+    df = literal_table(spark, rows, T.StructType([T.StructField("pass", T.IntegerType()),
+                                                  T.StructField("shift", T.DoubleType()),
+                                                  T.StructField("sse", T.DoubleType())]))
     return df.select("pass", _r("shift", 6).alias("shift"), _r("sse", 6).alias("sse"))
 
 

@@ -12,10 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.cyclic import WEEKDAY_NAMES, weekday_number
+from tessera.sources.local import literal_table
 from tessera.sources.schemas import ACCIDENT_FIELDS, position_of
 
+_LINE = T.StructType([T.StructField("value", T.StringType())])
+
 # Fixed values of the fixture view (shared with the SQL oracles).
 X_BASE, X_MULT, X_SPAN = 100000, 7919, 600000
 Y_BASE, Y_MULT, Y_SPAN = 6600000, 104729, 1150000
@@ -70,7 +74,7 @@ def accident_lines(spark: SparkSession, sf_dir: str, with_header: bool = True) -
     lines = pts.select(F.concat_ws(";", *fields).alias("value"))
     if with_header:
         header = ";".join(n for n, _ in ACCIDENT_FIELDS)
-        lines = spark.createDataFrame([(header,)], "value string").unionByName(lines)
+        lines = literal_table(spark, [(header,)], _LINE).unionByName(lines)
     return lines
 
 
@@ -84,4 +88,4 @@ def coordinate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("event_type") == "view", F.concat_ws(",", x.cast("string"), y.cast("string")))
             .otherwise(F.concat_ws(", ", x.cast("string"), y.cast("string"), F.col("event_type"))))
     body = ev.select(line.alias("value"))
-    return spark.createDataFrame([("X , Y, label",)], "value string").unionByName(body)
+    return literal_table(spark, [("X , Y, label",)], _LINE).unionByName(body)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera.functions.cyclic import DAY_POINTS, WEEKDAY_NAMES
+from tessera.sources.local import literal_table
 
 WEEKDAY_SCHEMA = T.StructType([
     T.StructField("Vkpv", T.StringType(), True),
@@ -19,5 +20,5 @@ def weekday_rows() -> list[tuple[str, float, float]]:
 
 
 def weekday_table(spark: SparkSession) -> DataFrame:
-    """In-memory literal table, 7 rows (a LocalRelation: no scan, no shuffle)."""
-    return spark.createDataFrame(weekday_rows(), WEEKDAY_SCHEMA)
+    """In-memory literal table, 7 rows (JVM literals: no scan, no Python)."""
+    return literal_table(spark, weekday_rows(), WEEKDAY_SCHEMA)
