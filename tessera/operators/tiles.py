@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.dedupe import first_seen
 from tessera.functions.tiles import inside_grid, tile_anchor, tile_level, tile_of_xy, tile_rollup, tile_size
 
 
@@ -37,7 +38,7 @@ def cover(df: DataFrame, x: str = "X", y: str = "Y", level: int = 9, order_col:
     before the name is built."""
     inside = df.select(order_col, x, y).filter(inside_grid(x, y))
     named = with_tile(inside, x, y, out, level)
-    return named.groupBy(out).agg(F.min(order_col).alias("first_id"), F.count(F.lit(1)).alias("n"))
+    return first_seen(named, out, order_col).withColumnRenamed(f"first_{order_col}", "first_id")
 
 
 def describe(df: DataFrame, tile_col: str = "tile", anchors=("sw",)) -> DataFrame:

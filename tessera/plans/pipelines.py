@@ -72,6 +72,10 @@ def kmeans_centroids_4d(points: DataFrame, k: int = 100, seed: int = 1) -> DataF
 
 
 def kmeans_elbow(points: DataFrame, dims: int = 2, ks: Sequence[int] = DEFAULT_KS, seed: int = 1) -> DataFrame:
+    """dims 2: (X, Y); dims 4 (or 3, the reference's name for it): X, Y and
+    the weekday point. Other values are an error, not a silent no-op."""
+    if dims not in (2, 3, 4):
+        raise ValueError(f"dims must be 2 or 4, got {dims}")
     p = prepare_2d(points) if dims == 2 else prepare_4d(points)
     return elbow_kmeans(p.df, p.features, ks, seed=seed)
 

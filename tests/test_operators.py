@@ -170,3 +170,17 @@ def test_mllib_fewer_clusters_than_k(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, 3.0)], "X_scaled double, Y_scaled double")
     model, _ = fit_kmeans(df, ["X_scaled", "Y_scaled"], 50, seed=1)
     assert len(model.clusterCenters()) <= 3
+
+
+def test_first_seen_with_key_function(spark):
+    from tessera.operators.dedupe import first_seen
+    df = spark.createDataFrame([(3, "Ab"), (1, "aB"), (2, "c"), (5, "AB")], "id long, s string")
+    rows = first_seen(df, F.lower("s").alias("k")).orderBy("first_id").collect()
+    assert [(r.k, r.first_id, r.n) for r in rows] == [("ab", 1, 3), ("c", 2, 1)]
+
+
+def test_elbow_rejects_unknown_dims(spark):
+    from tessera.plans.pipelines import kmeans_elbow
+    df = spark.createDataFrame([(1, 1.0, 1.0, "Maanantai")], "id long, X double, Y double, Vkpv string")
+    with pytest.raises(ValueError):
+        kmeans_elbow(df, dims=5)
