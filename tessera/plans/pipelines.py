@@ -17,10 +17,12 @@ from tessera.functions.cyclic import decode_day
 from tessera.functions.scaling import minmax_unscale
 from tessera.operators.clean import complete_rows
 from tessera.operators.elbow import DEFAULT_KS, elbow_kmeans, elbow_lloyd
-from tessera.operators.kmeans_ml import fit_kmeans, member_centroids
+from tessera.operators.kmeans_ml import assemble, fit_kmeans, member_centroids
+from tessera.operators.materialize import for_reuse, release
 from tessera.operators.lloyd import LloydResult, assign, lloyd
 from tessera.operators.scale import MinMax, fit_minmax, scale
 from tessera.operators.weekday import attach_weekday
+from tessera.sources.local import literal_table
 
 FEATURES_2D = ("X_scaled", "Y_scaled")
 FEATURES_4D = ("X_scaled", "Y_scaled", "dow_x_scaled", "dow_y_scaled")
@@ -55,19 +57,29 @@ def prepare_lloyd(points: DataFrame) -> Prepared:
     return Prepared(scale(clean, mm, ["X", "Y"]), mm, FEATURES_LLOYD)
 
 
+def _fit_centroids(p: Prepared, k: int, seed: int, mapping: dict[str, str]) -> DataFrame:
+    """Fit on the persisted feature vectors (spread over all cores), reduce to
+    ≤ k member-mean rows, release the cache, return the centroids as a small
+    literal table."""
+    vec = for_reuse(assemble(p.df, p.features))
+    try:
+        _, pred = fit_kmeans(vec, p.features, k, seed=seed, assembled=True)
+        cents = member_centroids(pred, p.mm, mapping)
+        rows = [tuple(r) for r in cents.collect()]
+    finally:
+        release(vec)
+    return literal_table(p.df.sparkSession, rows, cents.schema)
+
+
 def kmeans_centroids_2d(points: DataFrame, k: int = 300, seed: int = 1) -> DataFrame:
     """MLlib k-means on scaled (X, Y); centroids = member means in metres."""
-    p = prepare_2d(points)
-    _, pred = fit_kmeans(p.df, p.features, k, seed=seed)
-    return member_centroids(pred, p.mm, {"X_scaled": "x", "Y_scaled": "y"})
+    return _fit_centroids(prepare_2d(points), k, seed, {"X_scaled": "x", "Y_scaled": "y"})
 
 
 def kmeans_centroids_4d(points: DataFrame, k: int = 100, seed: int = 1) -> DataFrame:
     """MLlib k-means on scaled (X, Y, weekday point); adds the decoded weekday."""
-    p = prepare_4d(points)
-    _, pred = fit_kmeans(p.df, p.features, k, seed=seed)
-    cents = member_centroids(pred, p.mm, {"X_scaled": "x", "Y_scaled": "y",
-                                          "dow_x_scaled": "dow_x", "dow_y_scaled": "dow_y"})
+    cents = _fit_centroids(prepare_4d(points), k, seed, {"X_scaled": "x", "Y_scaled": "y",
+                                                         "dow_x_scaled": "dow_x", "dow_y_scaled": "dow_y"})
     return cents.withColumn("dow", decode_day("dow_x", "dow_y"))
 
 
