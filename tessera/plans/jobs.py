@@ -1,12 +1,6 @@
-"""Batch jobs matching the reference's task numbers: read the accident file,
-run the pipeline, write the result CSVs into ``out_dir``.
-
-    run_task(spark, 1, "data/accidents.csv", "results/")   # basic.csv
-    run_task(spark, 2, ...)   # task2.csv
-    run_task(spark, 4, ...)   # elbow2D.csv, elbow3D.csv
-    run_task(spark, 5, ...)   # task5.csv (+ task5_points with points=True)
-    run_task(spark, 6, ...)   # task6.csv
-"""
+"""Batch jobs by task number: read the accident file, run the pipeline,
+write the result CSVs into ``out_dir`` under the names users of the original
+jobs expect (see ``OUTPUT_NAMES``)."""
 
 from __future__ import annotations
 
@@ -23,6 +17,16 @@ from tessera.sinks.csv import write_centroids, write_elbow, write_geocoded, writ
 from tessera.sources.delimited import read_accidents, read_coordinates
 
 
+# Output names per task.
+OUTPUT_NAMES = {
+    1: ("basic.csv",),
+    2: ("task2.csv",),
+    4: ("elbow2D.csv", "elbow3D.csv"),
+    5: ("task5.csv", "task5_clusteredPoints.csv"),
+    6: ("task6.csv",),
+}
+
+
 def accident_points(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """(id, X, Y, Vkpv) from accident files (only 4 of 102 columns are read)."""
     df = read_accidents(spark, path, columns=("Onnett_id", "X", "Y", "Vkpv"), encoding=encoding)
@@ -33,23 +37,23 @@ def run_task(spark: SparkSession, task: int, accidents: str, out_dir: str, *,
              ks: Sequence[int] = DEFAULT_KS, seed: int = 0, points: bool = False,
              encoding: str = "UTF-8") -> None:
     pts = accident_points(spark, accidents, encoding)
-    out = lambda name: os.path.join(out_dir, name)
+    if task not in OUTPUT_NAMES:
+        raise ValueError(f"unknown task {task}; expected one of {sorted(OUTPUT_NAMES)}")
+    out = [os.path.join(out_dir, n) for n in OUTPUT_NAMES[task]]
     if task == 1:
-        write_centroids(PL.kmeans_centroids_2d(pts, k=300), out("basic.csv"), ["x", "y"])
+        write_centroids(PL.kmeans_centroids_2d(pts, k=300), out[0], ["x", "y"])
     elif task == 2:
-        write_centroids(PL.kmeans_centroids_4d(pts, k=100), out("task2.csv"), ["x", "y", "dow"])
+        write_centroids(PL.kmeans_centroids_4d(pts, k=100), out[0], ["x", "y", "dow"])
     elif task == 4:
-        write_elbow(PL.kmeans_elbow(pts, dims=2, ks=ks), out("elbow2D.csv"))
-        write_elbow(PL.kmeans_elbow(pts, dims=4, ks=ks), out("elbow3D.csv"))
+        write_elbow(PL.kmeans_elbow(pts, dims=2, ks=ks), out[0])
+        write_elbow(PL.kmeans_elbow(pts, dims=4, ks=ks), out[1])
     elif task == 5:
         run = PL.lloyd_run(pts, k=32, tol=1.5, max_iter=200, seed=seed)
-        write_centroids(run.centroids(), out("task5.csv"), ["X", "Y", "Day"])
+        write_centroids(run.centroids(), out[0], ["X", "Y", "Day"])
         if points:
-            write_points(run.labelled_points(), out("task5_clusteredPoints.csv"))
-    elif task == 6:
-        write_elbow(PL.lloyd_elbow(pts, ks=ks, tol=2.0, max_iter=50, seed=seed), out("task6.csv"))
+            write_points(run.labelled_points(), out[1])
     else:
-        raise ValueError(f"unknown task {task}; expected 1, 2, 4, 5 or 6")
+        write_elbow(PL.lloyd_elbow(pts, ks=ks, tol=2.0, max_iter=50, seed=seed), out[0])
 
 
 def geocode_file(spark: SparkSession, in_path: str, out_path: str) -> None:
