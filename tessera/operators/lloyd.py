@@ -89,14 +89,51 @@ def nearest_centroid(features: Sequence[str], centroids: Centroids) -> Column:
     return (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
 
 
+def _nearest_block(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
+    """Index of the nearest centroid for every row of ``pts`` (n x d).
+
+    Candidates come from one matrix product, |c|² - 2 p·c (BLAS). That
+    expansion rounds differently from Σ (p_j - c_j)², so a row whose runner-up
+    lies within a safe margin of its best is decided again by the exact
+    left-to-right sum over all centroids within the margin — the same
+    arithmetic as the JVM expression and the SQL twin. The margin (1e-9 of
+    the magnitudes) is ~10^6 times the rounding error of either form, so the
+    exact minimum is always among the candidates.
+    """
+    n = pts.shape[0]
+    c2 = np.einsum("ij,ij->i", cent, cent)
+    approx = pts @ (-2.0 * cent.T)
+    approx += c2
+    idx = approx.argmin(axis=1)
+    rows_all = np.arange(n)
+    best = approx[rows_all, idx]
+    margin = 1e-9 * (np.einsum("ij,ij->i", pts, pts) + c2.max()) + 1e-300
+    if cent.shape[0] > 1:
+        approx[rows_all, idx] = np.inf
+        runner_up = approx.min(axis=1)
+        rows = np.flatnonzero(runner_up <= best + margin)
+    else:
+        rows = np.empty(0, dtype=np.int64)
+    if rows.size:
+        sub = pts[rows]
+        again = sub @ (-2.0 * cent.T) + c2
+        cand = again <= (best[rows] + margin[rows])[:, None]
+        exact = np.zeros((rows.size, cent.shape[0]))
+        for j in range(cent.shape[1]):
+            diff = sub[:, j:j + 1] - cent[None, :, j]
+            exact += diff * diff
+        exact[~cand] = np.inf
+        idx[rows] = exact.argmin(axis=1)
+    return idx.astype(np.int32)
+
+
 def nearest_kernel(features: Sequence[str], centroid_sets: Sequence[Centroids]) -> Column:
-    """Arrow-batched assignment under several centroid sets at once:
-    ``array<int>`` with the nearest index per set.
+    """Arrow-batched assignment under several centroid sets at once: a struct
+    with one int field ``m<i>`` per set (columnar Arrow output).
 
     Each task gets Arrow batches of rows and compares them with the centroids
-    in numpy. Squared distances are summed in the same order as
-    :func:`nearest_centroid` and ``argmin`` keeps the first minimum, so both
-    paths give identical assignments.
+    in numpy (:func:`_nearest_block`); ties go to the lowest index, exactly
+    as in :func:`nearest_centroid`, so both paths give identical labels.
     """
     for c in centroid_sets:
         _check_size(c)
@@ -105,18 +142,13 @@ def nearest_kernel(features: Sequence[str], centroid_sets: Sequence[Centroids])
     sets = [np.asarray(c, dtype=np.float64) for c in centroid_sets]
     dims = len(features)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def nearest(batch: pd.DataFrame) -> pd.Series:
-        pts = [batch.iloc[:, j].to_numpy(dtype=np.float64) for j in range(dims)]
-        out = np.empty((len(pts[0]), len(sets)), dtype=np.int32)
-        for m, cent in enumerate(sets):
-            d2 = None
-            for j in range(dims):
-                diff = pts[j][:, None] - cent[None, :, j]
-                sq = diff * diff
-                d2 = sq if d2 is None else d2 + sq
-            out[:, m] = d2.argmin(axis=1)
-        return pd.Series(list(out))
+    names = [f"m{i}" for i in range(len(sets))]
+    out_type = T.StructType([T.StructField(n, T.IntegerType(), False) for n in names])
+
+    @F.pandas_udf(out_type)
+    def nearest(batch: pd.DataFrame) -> pd.DataFrame:
+        pts = np.column_stack([batch.iloc[:, j].to_numpy(dtype=np.float64) for j in range(dims)])
+        return pd.DataFrame({n: _nearest_block(pts, cent) for n, cent in zip(names, sets)})
 
     return nearest(F.struct(*[F.col(f) for f in features]))
 
@@ -129,7 +161,7 @@ def assign(df: DataFrame, features: Sequence[str], centroids: Centroids, out: st
         method = "jvm" if len(centroids) * len(features) <= JVM_ASSIGN_LIMIT else "arrow"
     if method == "jvm":
         return df.withColumn(out, nearest_centroid(features, centroids))
-    return df.withColumn(out, nearest_kernel(features, [centroids])[0])
+    return df.withColumn(out, nearest_kernel(features, [centroids])["m0"])
 
 
 def update_stats(assigned: DataFrame, features: Sequence[str], label: str | Sequence[str] = "cluster") -> DataFrame:
@@ -221,7 +253,9 @@ def lloyd_sweep(points: DataFrame, features: Sequence[str], ks: Sequence[int], t
             active = [k for k in state if k not in done]
             labels = nearest_kernel(features, [state[k] for k in active])
             models = F.array(*[F.lit(k) for k in active])
-            exploded = (pts.select(*features, F.posexplode(labels).alias("_m", "cluster"))
+            tagged = pts.select(*features, labels.alias("_l"))
+            per_model = F.array(*[F.col(f"_l.m{i}") for i in range(len(active))])
+            exploded = (tagged.select(*features, F.posexplode(per_model).alias("_m", "cluster"))
                         .select(F.element_at(models, F.col("_m") + 1).alias("model"), "cluster", *features))
             stats = update_stats(exploded, features, ["model", "cluster"])
             by_model: dict[int, list] = {k: [] for k in active}

@@ -184,3 +184,25 @@ def test_elbow_rejects_unknown_dims(spark):
     df = spark.createDataFrame([(1, 1.0, 1.0, "Maanantai")], "id long, X double, Y double, Vkpv string")
     with pytest.raises(ValueError):
         kmeans_elbow(df, dims=5)
+
+
+def test_nearest_block_equals_exact_formula():
+    import numpy as np
+
+    from tessera.operators.lloyd import _nearest_block
+    rng = np.random.default_rng(0)
+    pts = rng.random((3000, 4))
+    cent = np.vstack([rng.random((40, 4)), pts[:5], pts[:5]])  # exact duplicates -> ties
+    pts[10] = (cent[0] + cent[1]) / 2  # near-midpoint
+    exact = np.zeros((pts.shape[0], cent.shape[0]))
+    for j in range(4):
+        d = pts[:, j:j + 1] - cent[None, :, j]
+        exact += d * d
+    assert (_nearest_block(pts, cent) == exact.argmin(axis=1)).all()
+    big = pts * 1e6 + 7e6  # large magnitudes (metres)
+    cb = cent * 1e6 + 7e6
+    exact_b = np.zeros_like(exact)
+    for j in range(4):
+        d = big[:, j:j + 1] - cb[None, :, j]
+        exact_b += d * d
+    assert (_nearest_block(big, cb) == exact_b.argmin(axis=1)).all()
