@@ -127,6 +127,21 @@ def _nearest_block(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
     return idx.astype(np.int32)
 
 
+# Largest distance matrix (rows x centroids) one kernel step materialises:
+# 2^22 doubles = 32 MB per temporary, whatever k is.
+KERNEL_BLOCK_VALUES = 1 << 22
+
+
+def _nearest_rows(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
+    """:func:`_nearest_block` over row blocks small enough that an n x k
+    matrix never exceeds ``KERNEL_BLOCK_VALUES`` (bounded executor memory for
+    any k under the plan limit)."""
+    step = max(1, KERNEL_BLOCK_VALUES // max(1, cent.shape[0]))
+    if pts.shape[0] <= step:
+        return _nearest_block(pts, cent)
+    return np.concatenate([_nearest_block(pts[i:i + step], cent) for i in range(0, pts.shape[0], step)])
+
+
 def nearest_kernel(features: Sequence[str], centroid_sets: Sequence[Centroids]) -> Column:
     """Arrow-batched assignment under several centroid sets at once: a struct
     with one int field ``m<i>`` per set (columnar Arrow output).
@@ -148,7 +163,7 @@ def nearest_kernel(features: Sequence[str], centroid_sets: Sequence[Centroids])
     @F.pandas_udf(out_type)
     def nearest(batch: pd.DataFrame) -> pd.DataFrame:
         pts = np.column_stack([batch.iloc[:, j].to_numpy(dtype=np.float64) for j in range(dims)])
-        return pd.DataFrame({n: _nearest_block(pts, cent) for n, cent in zip(names, sets)})
+        return pd.DataFrame({n: _nearest_rows(pts, cent) for n, cent in zip(names, sets)})
 
     return nearest(F.struct(*[F.col(f) for f in features]))
 

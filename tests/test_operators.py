@@ -206,3 +206,14 @@ def test_nearest_block_equals_exact_formula():
         d = big[:, j:j + 1] - cb[None, :, j]
         exact_b += d * d
     assert (_nearest_block(big, cb) == exact_b.argmin(axis=1)).all()
+
+
+def test_kernel_row_blocks_match_single_block(monkeypatch):
+    import numpy as np
+
+    from tessera.operators import lloyd as L
+    rng = np.random.default_rng(1)
+    pts, cent = rng.random((1000, 3)), rng.random((50, 3))
+    whole = L._nearest_block(pts, cent)
+    monkeypatch.setattr(L, "KERNEL_BLOCK_VALUES", 50 * 7)  # 7-row blocks
+    assert (L._nearest_rows(pts, cent) == whole).all()
