@@ -5,6 +5,8 @@ written out again here."""
 
 from __future__ import annotations
 
+import math
+
 from tessera.functions import projection as P
 from tessera.functions import tiles as TL
 from tessera.functions.cyclic import DAY_POINTS, WEEKDAY_NAMES
@@ -154,7 +156,7 @@ def latlon_sql(x: str, y: str) -> tuple[str, str]:
 def xy_sql(lat: str, lon: str) -> tuple[str, str]:
     """Forward Krüger series in SQL."""
     phi = f"radians({lat})"
-    lam = f"(radians({lon}) - {P.math.radians(P.CENTRAL_MERIDIAN_DEG)!r})"
+    lam = f"(radians({lon}) - {math.radians(P.CENTRAL_MERIDIAN_DEG)!r})"
     t = f"sinh(atanh(sin({phi})) - {P.ECC!r} * atanh({P.ECC!r} * sin({phi})))"
     xip = f"atan2({t}, cos({lam}))"
     etap = f"atanh(sin({lam}) / sqrt(1.0 + {t} * {t}))"

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.functions.cyclic import decode_day
 from tessera.functions.scaling import minmax_unscale
@@ -126,8 +125,3 @@ def lloyd_elbow(points: DataFrame, ks: Sequence[int] = DEFAULT_KS, tol: float =
     p = prepare_lloyd(points)
     return elbow_lloyd(p.df, p.features, ks, tol=tol, max_iter=max_iter, seed=seed)
 
-
-def weekday_profile(points: DataFrame) -> DataFrame:
-    """Mean unit-circle point per weekday name, decoded back (sanity view)."""
-    enc = attach_weekday(points.select("Vkpv", F.col("Vkpv").alias("name")), "Vkpv")
-    return enc.groupBy("name").agg(decode_day(F.avg("dow_x"), F.avg("dow_y")).alias("dow"))
