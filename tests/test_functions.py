@@ -125,3 +125,19 @@ def test_half_tile_anchor(spark):
     xs = [r[0] for r in df.select(ax).collect()]
     assert xs[1] - xs[0] == 96000 and xs[2] == xs[0]
     assert math.isclose(xs[0], -460000 + 4 * 192000)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.floats(-76000, 883999), st.floats(6570000, 7817999)), min_size=1, max_size=30))
+def test_tile_roundtrip_property(spark, pts):
+    """For any point in the grid: its level-9 tile's sw corner lies at most
+    one 3 km cell below/left of it, and every roll-up level parses as itself."""
+    df = spark.createDataFrame(pts, "x double, y double").withColumn("t", tile_of_xy("x", "y"))
+    ax, ay = tile_anchor("t", "sw")
+    rows = df.select("x", "y", "t", ax.alias("ax"), ay.alias("ay"), tile_rollup("t").alias("r")).collect()
+    for r in rows:
+        if r.t is None:
+            continue
+        assert r.ax <= r.x < r.ax + 3000 and r.ay <= r.y < r.ay + 3000
+        lv = spark.createDataFrame([(n,) for n in r.r], "n string").select(tile_level("n")).collect()
+        assert [v[0] for v in lv] == list(range(10))

@@ -217,3 +217,9 @@ def test_kernel_row_blocks_match_single_block(monkeypatch):
     whole = L._nearest_block(pts, cent)
     monkeypatch.setattr(L, "KERNEL_BLOCK_VALUES", 50 * 7)  # 7-row blocks
     assert (L._nearest_rows(pts, cent) == whole).all()
+
+
+def test_lloyd_on_empty_input_fails_clearly(spark):
+    df = spark.createDataFrame([], "id long, a double, b double")
+    with pytest.raises(ValueError, match="no centroids"):
+        lloyd(df, ["a", "b"], k=3)
