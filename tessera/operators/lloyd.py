@@ -89,57 +89,71 @@ def nearest_centroid(features: Sequence[str], centroids: Centroids) -> Column:
     return (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
 
 
-def _nearest_block(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
-    """Index of the nearest centroid for every row of ``pts`` (n x d).
-
-    Candidates come from one matrix product, |c|² - 2 p·c (BLAS). That
-    expansion rounds differently from Σ (p_j - c_j)², so a row whose runner-up
-    lies within a safe margin of its best is decided again by the exact
-    left-to-right sum over all centroids within the margin — the same
-    arithmetic as the JVM expression and the SQL twin. The margin (1e-9 of
-    the magnitudes) is ~10^6 times the rounding error of either form, so the
-    exact minimum is always among the candidates.
-    """
-    n = pts.shape[0]
-    c2 = np.einsum("ij,ij->i", cent, cent)
-    approx = pts @ (-2.0 * cent.T)
-    approx += c2
-    idx = approx.argmin(axis=1)
-    rows_all = np.arange(n)
-    best = approx[rows_all, idx]
-    margin = 1e-9 * (np.einsum("ij,ij->i", pts, pts) + c2.max()) + 1e-300
-    if cent.shape[0] > 1:
-        approx[rows_all, idx] = np.inf
-        runner_up = approx.min(axis=1)
-        rows = np.flatnonzero(runner_up <= best + margin)
-    else:
-        rows = np.empty(0, dtype=np.int64)
-    if rows.size:
-        sub = pts[rows]
-        again = sub @ (-2.0 * cent.T) + c2
-        cand = again <= (best[rows] + margin[rows])[:, None]
-        exact = np.zeros((rows.size, cent.shape[0]))
-        for j in range(cent.shape[1]):
-            diff = sub[:, j:j + 1] - cent[None, :, j]
-            exact += diff * diff
-        exact[~cand] = np.inf
-        idx[rows] = exact.argmin(axis=1)
-    return idx.astype(np.int32)
-
-
 # Largest distance matrix (rows x centroids) one kernel step materialises:
 # 2^22 doubles = 32 MB per temporary, whatever k is.
 KERNEL_BLOCK_VALUES = 1 << 22
 
 
+def _kernel_functions(block_values: int):
+    """The assignment kernel as closures. Spark pickles closures by value, so
+    executors need only numpy (not this package) to run them.
+    """
+
+    def nearest_block(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
+        """Index of the nearest centroid for every row of ``pts`` (n x d).
+
+        Candidates come from one matrix product, |c|² - 2 p·c (BLAS). That
+        expansion rounds differently from Σ (p_j - c_j)², so a row whose runner-up
+        lies within a safe margin of its best is decided again by the exact
+        left-to-right sum over all centroids within the margin — the same
+        arithmetic as the JVM expression and the SQL twin. The margin (1e-9 of
+        the magnitudes) is ~10^6 times the rounding error of either form, so the
+        exact minimum is always among the candidates.
+        """
+        n = pts.shape[0]
+        c2 = np.einsum("ij,ij->i", cent, cent)
+        approx = pts @ (-2.0 * cent.T)
+        approx += c2
+        idx = approx.argmin(axis=1)
+        rows_all = np.arange(n)
+        best = approx[rows_all, idx]
+        margin = 1e-9 * (np.einsum("ij,ij->i", pts, pts) + c2.max()) + 1e-300
+        if cent.shape[0] > 1:
+            approx[rows_all, idx] = np.inf
+            runner_up = approx.min(axis=1)
+            rows = np.flatnonzero(runner_up <= best + margin)
+        else:
+            rows = np.empty(0, dtype=np.int64)
+        if rows.size:
+            sub = pts[rows]
+            again = sub @ (-2.0 * cent.T) + c2
+            cand = again <= (best[rows] + margin[rows])[:, None]
+            exact = np.zeros((rows.size, cent.shape[0]))
+            for j in range(cent.shape[1]):
+                diff = sub[:, j:j + 1] - cent[None, :, j]
+                exact += diff * diff
+            exact[~cand] = np.inf
+            idx[rows] = exact.argmin(axis=1)
+        return idx.astype(np.int32)
+
+    def nearest_rows(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
+        """:func:`nearest_block` over row blocks small enough that an n x k
+        matrix never exceeds ``KERNEL_BLOCK_VALUES`` (bounded executor memory for
+        any k under the plan limit)."""
+        step = max(1, block_values // max(1, cent.shape[0]))
+        if pts.shape[0] <= step:
+            return nearest_block(pts, cent)
+        return np.concatenate([nearest_block(pts[i:i + step], cent) for i in range(0, pts.shape[0], step)])
+
+    return nearest_block, nearest_rows
+
+
+def _nearest_block(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
+    return _kernel_functions(KERNEL_BLOCK_VALUES)[0](pts, cent)
+
+
 def _nearest_rows(pts: np.ndarray, cent: np.ndarray) -> np.ndarray:
-    """:func:`_nearest_block` over row blocks small enough that an n x k
-    matrix never exceeds ``KERNEL_BLOCK_VALUES`` (bounded executor memory for
-    any k under the plan limit)."""
-    step = max(1, KERNEL_BLOCK_VALUES // max(1, cent.shape[0]))
-    if pts.shape[0] <= step:
-        return _nearest_block(pts, cent)
-    return np.concatenate([_nearest_block(pts[i:i + step], cent) for i in range(0, pts.shape[0], step)])
+    return _kernel_functions(KERNEL_BLOCK_VALUES)[1](pts, cent)
 
 
 def nearest_kernel(features: Sequence[str], centroid_sets: Sequence[Centroids]) -> Column:
@@ -158,12 +172,13 @@ def nearest_kernel(features: Sequence[str], centroid_sets: Sequence[Centroids])
     dims = len(features)
 
     names = [f"m{i}" for i in range(len(sets))]
+    _, rows_fn = _kernel_functions(KERNEL_BLOCK_VALUES)
     out_type = T.StructType([T.StructField(n, T.IntegerType(), False) for n in names])
 
     @F.pandas_udf(out_type)
     def nearest(batch: pd.DataFrame) -> pd.DataFrame:
         pts = np.column_stack([batch.iloc[:, j].to_numpy(dtype=np.float64) for j in range(dims)])
-        return pd.DataFrame({n: _nearest_rows(pts, cent) for n, cent in zip(names, sets)})
+        return pd.DataFrame({n: rows_fn(pts, cent) for n, cent in zip(names, sets)})
 
     return nearest(F.struct(*[F.col(f) for f in features]))
 

@@ -223,3 +223,22 @@ def test_lloyd_on_empty_input_fails_clearly(spark):
     df = spark.createDataFrame([], "id long, a double, b double")
     with pytest.raises(ValueError, match="no centroids"):
         lloyd(df, ["a", "b"], k=3)
+
+
+def test_kernel_runs_without_the_package(tmp_path):
+    """Executors only have numpy: the pickled kernel must not import tessera."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tessera.operators.lloyd import _kernel_functions
+    f = tmp_path / "kernel.pkl"
+    f.write_bytes(cloudpickle.dumps(_kernel_functions(1 << 22)[1]))
+    code = ("import pickle, numpy as np; fn = pickle.load(open('kernel.pkl', 'rb')); "
+            "print(fn(np.array([[0.0, 0.0], [3.0, 3.0]]), np.array([[2.9, 3.0], [0.1, 0.0]])).tolist())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.strip() == "[1, 0]"
