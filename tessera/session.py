@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "tessera", driver_memory: str = "8g") -> SparkSession:
@@ -33,8 +33,9 @@ def local_session(cpus: int | str = "*", app: str = "tessera", driver_memory: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder on shared storage for checkpoints and written tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a fresh temporary folder is created and registered.
+    Uses ``spark.checkpoint.dir`` when the cluster names one. When it is unset
+    a fresh temporary folder serves a local master (tests); any other master
+    raises, because executors would write to disks that nobody else reads.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     conf = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -51,3 +54,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared folder (never reused between runs)."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table through Hadoop, wherever the shared folder is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Written intermediate tables of one run, below the shared folder.
+
+    ``write`` stores a DataFrame as Parquet and rereads it, which cuts lineage
+    and survives lost executors; ``drop`` deletes tables that nothing lazy
+    still reads. Tables behind a returned (lazy) result stay.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, list[str]] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            for path in self.paths.pop(name, []):
+                delete_path(self.spark, path)
