@@ -6,10 +6,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, packing, quality, token_count
+from tessera.llm import chat, neardup, packing, quality, token_count
 from tessera.llm.common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -29,5 +33,5 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_quality_rules, op6_token_counts, op9_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op9_chat_formatting)}
 ORACLE: dict[str, str] = {}
