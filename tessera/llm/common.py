@@ -44,3 +44,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataF
         step += 1
     members = cur.select(F.col("a").alias("id"), F.col("b").alias("root"))
     return members.unionByName(cur.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, marked for broadcast when it has at most ``rows`` rows; beyond
+    that the same join shuffles. ``df`` should be a written table."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def row_key():
+    """A 64-bit key of a document row; rows that are equal share it."""
+    return F.xxhash64("doc_id", "text")

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, neardup, packing, quality, token_count
+from tessera.llm import chat, decontaminate, neardup, packing, quality, token_count
 from tessera.llm.common import table
 
 
@@ -29,9 +29,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op9_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting)}
 ORACLE: dict[str, str] = {}
