@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, neardup, packing, quality, token_count
+from tessera.llm import chat, decontaminate, linededup, neardup, packing, quality, token_count
 from tessera.llm.common import table
 
 
@@ -37,5 +37,9 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting, op10_line_dedup)}
 ORACLE: dict[str, str] = {}
