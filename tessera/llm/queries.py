@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, linededup, neardup, packing, quality, token_count
+from tessera.llm import chat, decontaminate, linededup, neardup, packing, pseudonym, quality, token_count
 from tessera.llm.common import table
 
 
@@ -14,6 +14,15 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: the queries' key; a real run passes its own secret
+PSEUDONYM_KEY = "tessera-example-key"
+
+
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonym.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return found.select("doc_id", "text", "n_replaced")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,5 +50,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_pseudonyms, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting, op10_line_dedup)}
 ORACLE: dict[str, str] = {}
