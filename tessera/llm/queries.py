@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, linededup, neardup, packing, pseudonym, quality, token_count
+from tessera.llm import chat, decontaminate, linededup, neardup, packing, pseudonym, quality, token_count, warc
 from tessera.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select(
@@ -50,5 +54,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_pseudonyms, op3_best_fit_packing, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_pseudonyms, op3_best_fit_packing, op4_warc_capture_index, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting, op10_line_dedup)}
 ORACLE: dict[str, str] = {}
