@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, linededup, neardup, packing, pseudonym, quality, token_count, warc
+from tessera.llm import chat, decontaminate, linededup, neardup, packing, pseudonym, quality, substrings, token_count, warc
 from tessera.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
@@ -54,5 +58,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_pseudonyms, op3_best_fit_packing, op4_warc_capture_index, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op9_chat_formatting, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_pseudonyms, op3_best_fit_packing, op4_warc_capture_index, op5_quality_rules, op6_token_counts, op7_benchmark_decontamination, op8_suffix_dedup, op9_chat_formatting, op10_line_dedup)}
 ORACLE: dict[str, str] = {}
