@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components
+from tessera.llm.common import components, row_key, small_side
 from tessera.session import Scratch
 
 WORDS = 5
@@ -42,7 +42,7 @@ COORDS, TREES, MODES = 128, 8, 16
 SKETCH_BITS = 57  # differing bits of 256 that a candidate may have: mean 32, deviation 6.3 at the threshold
 PAIRS_PER_ROW = 32  # a node is compared at once up to so many pairs a member
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; beyond it the same join shuffles
-SKETCH = "doc_id long, n_shingles long, v long, sig array<int>, s0 long, s1 long, s2 long, s3 long"
+SKETCH = "doc_id long, row long, n_shingles long, v long, sig array<int>, s0 long, s1 long, s2 long, s3 long"
 BITS = ["s0", "s1", "s2", "s3"]
 
 
@@ -84,18 +84,18 @@ def sketches(docs: DataFrame) -> DataFrame:
         factors = multipliers()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.doc_id, batch.text):
+            for doc_id, row, text in zip(batch.doc_id, batch.row, batch.text):
                 found = shingles(text)
                 if not len(found):
-                    rows.append((doc_id, 0, None, None, None, None, None, None))
+                    rows.append((doc_id, row, 0, None, None, None, None, None, None))
                     continue
                 sig = minwise(found, factors)
                 v = xxhash.xxh3_64_intdigest(found.tobytes())
-                rows.append((doc_id, len(found), v - (1 << 64) if v >> 63 else v, sig.view(np.int32), *bit_sketch(sig).tolist()))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "v", "sig", *BITS])
+                rows.append((doc_id, row, len(found), v - (1 << 64) if v >> 63 else v, sig.view(np.int32), *bit_sketch(sig).tolist()))
+            out = pd.DataFrame(rows, columns=["doc_id", "row", "n_shingles", "v", "sig", *BITS])
             yield out.astype({c: "Int64" for c in ("doc_id", "v", *BITS)})
 
-    return docs.select("doc_id", "text").mapInPandas(sketch, SKETCH)
+    return docs.select("doc_id", row_key().alias("row"), "text").mapInPandas(sketch, SKETCH)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def links(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
         grouped = full.join(joined, ["node", "v"], "left").withColumn("g", F.coalesce("hub", "g"))
         first = F.expr(f"pmod(xxhash64(node, 1), {COORDS})")
         second = F.expr(f"pmod(pmod(xxhash64(node, 1), {COORDS}) + 1 + pmod(xxhash64(node, 2), {COORDS - 1}), {COORDS})")
-        child = F.explode(F.array(*[F.xxhash64("node", at, F.expr("sig").getItem(at.cast("int"))) for at in (first, second)]))
+        child = F.explode(F.array(*[F.xxhash64("node", at, F.col("sig")[at.cast("int")]) for at in (first, second)]))
         rows = scratch.write(grouped.select("v", "n", *BITS, "g", child.alias("node")), f"rows-{depth + 1}")
         scratch.drop(f"large-{depth}", f"near-{depth}", f"nodes-{depth}")
         depth += 1
@@ -204,8 +204,9 @@ def links(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     return out.distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def near_duplicates(docs: DataFrame, key: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; with ``key`` also
+    the key of the row."""
     scratch = Scratch(docs.sparkSession)
     own = scratch.write(sketches(docs), "sketches")
     first = [F.first(c).alias(c) for c in ("sig", *BITS)]
@@ -215,6 +216,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = classes.select("v", "doc_id").join(roots.withColumnRenamed("id", "v"), "v", "left").withColumn("root", F.coalesce("root", "v"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     names = scratch.write(named.join(least, "root").select("v", "component_id"), "names")
-    out = own.select("doc_id", "n_shingles", "v").join(names, "v", "left")
+    out = own.select("doc_id", "row", "n_shingles", "v").join(names, "v", "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.expr("doc_id <=> coalesce(component_id, doc_id)").alias("kept"))
+    out = out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.expr("doc_id <=> coalesce(component_id, doc_id)").alias("kept"))
+    return out if key else out.drop("row")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component, that of its smallest doc_id (of rows with
+    one id and one text, one), with all columns. Rows without words stay."""
+    scratch = Scratch(docs.sparkSession)
+    judged = scratch.write(near_duplicates(docs, key=True), "judged")
+    words = judged.where("n_shingles > 0")
+    gone = words.where("NOT kept").select("row").distinct()
+    # rows with the kept id that are alike: all but one go
+    twice = words.where("kept").groupBy("component_id").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1")
+    rest = docs.withColumn("_row", row_key()).join(small_side(gone.withColumnRenamed("row", "_row"), BROADCAST_IDS), "_row", "left_anti")
+    if twice.isEmpty():
+        return rest.drop("_row")
+    kept = words.where("kept").join(twice, "component_id").where("row <> least").select(F.col("row").alias("_row")).distinct()
+    rest = rest.join(small_side(kept, BROADCAST_IDS), "_row", "left_anti")
+    return rest.drop("_row")
