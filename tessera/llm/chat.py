@@ -22,11 +22,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import islice
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import map_batches
+
 #: role -> opening mark, closing mark, whether its text is under the loss
 TEMPLATE = {
     "roles": {
@@ -77,21 +79,14 @@ def _runs(batches, columns):
     """Rows of a sorted stream as tuples, with whether the conversation is new."""
     last: object = ()
     for batch in batches:
-        for row in zip(*(batch[c] for c in columns)):
-            key = None if pd.isna(row[0]) else int(row[0])
-            yield (key != last or last == ()), key, row[1:]
-            last = key
+        for row in zip(*(getattr(batch, c) for c in columns)):
+            yield (last == () or row[0] != last), row[0], row[1:]
+            last = row[0]
 
 
-def _frames(rows, names, size=5000):
-    held = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield pd.DataFrame(held, columns=names).astype({"conv_id": "Int64"})
-            held = []
-    if held:
-        yield pd.DataFrame(held, columns=names).astype({"conv_id": "Int64"})
+def _chunks(rows, size=5000):
+    while held := list(islice(rows, size)):
+        yield held
 
 
 def format_conversations(convs: DataFrame, template: dict = TEMPLATE) -> DataFrame:
@@ -117,9 +112,8 @@ def format_conversations(convs: DataFrame, template: dict = TEMPLATE) -> DataFra
                 yield key, turn_no, k, part, loss, valid
             turn_no += 1
 
-    names = ["conv_id", "turn_no", "segment_no", "text", "loss", "valid_so_far"]
     turns = convs.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return turns.select("conv_id", "role", "text").mapInPandas(lambda b: _frames(rows(b), names), SEGMENTS)
+    return map_batches(turns.select("conv_id", "role", "text"), lambda b: _chunks(rows(b)), SEGMENTS)
 
 
 def read_back(segments: DataFrame, template: dict = TEMPLATE) -> DataFrame:
@@ -162,8 +156,7 @@ def read_back(segments: DataFrame, template: dict = TEMPLATE) -> DataFrame:
         if turns is not None:
             yield key, n, turns.hexdigest(), chars, under.hexdigest(), total, valid and role in template["ends"]
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
-    return segments.select("conv_id", "text", "loss", "valid_so_far").mapInPandas(lambda b: _frames(rows(b), names), DIGEST)
+    return map_batches(segments.select("conv_id", "text", "loss", "valid_so_far"), lambda b: _chunks(rows(b)), DIGEST)
 
 
 def with_probe(convs: DataFrame) -> DataFrame:

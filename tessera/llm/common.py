@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tessera.session import Scratch
 
@@ -55,3 +60,22 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
 def row_key():
     """A 64-bit key of a document row; rows that are equal share it."""
     return F.xxhash64("doc_id", "text")
+
+
+def map_batches(df: DataFrame, work, schema: str) -> DataFrame:
+    """``mapInArrow`` with plain values, so that nullable integers stay exact.
+
+    ``work`` gets an iterator of batches whose attributes are the columns as
+    lists, and yields dicts of columns or lists of rows in schema order.
+    """
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        plain = (SimpleNamespace(**dict(zip(b.schema.names, (c.to_pylist() for c in b.columns)))) for b in batches if b.num_rows)
+        for out in work(plain):
+            if isinstance(out, list):
+                out = dict(zip(kinds.names, zip(*out))) if out else {}
+            columns = [pa.array(out.get(f.name, ()), f.type) for f in kinds]
+            yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+
+    return df.mapInArrow(run, schema)

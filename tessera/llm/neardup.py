@@ -4,15 +4,19 @@ A document's set is its distinct 5-word shingles; two documents are linked
 when 100 * |intersection| >= 75 * |union|. Documents with equal sets form one
 class, which takes part once. Every class is embedded as ``COORDS`` minwise
 tokens. Each of ``TREES`` independent trees starts from one token: the
-classes that share it form a node. A node whose classes can be compared in
-linear work is compared exhaustively. A larger one is branched by two tokens
-chosen by its own hash, so a pair of similarity 0.75 keeps a path with
-probability over 0.88 a tree, and all trees miss it with less than 2 in
-10,000. As in the published algorithm, a class that is similar to its whole
-node is compared with all of the node at once: it is found by agreement with
-the node's most frequent tokens. Classes it is linked with form a group, and
-only pairs of different groups still count, which ends the branching of
-large groups of copies.
+classes that share it form a node. A node of few members is compared
+exhaustively. A larger one is branched by two tokens chosen by its own hash,
+so a pair of similarity 0.75 keeps a path with probability over 0.88 a tree,
+and all trees miss it with less than 2 in 10,000.
+
+As in the published algorithm, a class that is similar to its whole node is
+compared with all of the node at once: the hub, found by agreement with the
+node's most frequent tokens. The members that resemble it are its family.
+Members linked with the hub are connected through it; the others of a family
+of up to ``FAMILY`` members are compared with the whole family. Pairs within
+one label (linked, or compared) are done, and a node is done when one label
+is left, which ends the branching of groups of variants. A larger family
+keeps its unlinked members apart and goes on branching.
 
 Candidates pass a sketch (two bits a token; a linked pair fails it with
 about 3 in 100,000) and are then confirmed on full sets.
@@ -29,18 +33,20 @@ never the name of a component that has another id.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, row_key, small_side
+from tessera.llm.common import components, map_batches, row_key, small_side
 from tessera.session import Scratch
 
 WORDS = 5
 COORDS, TREES, MODES = 128, 8, 16
 SKETCH_BITS = 57  # differing bits of 256 that a candidate may have: mean 32, deviation 6.3 at the threshold
 PAIRS_PER_ROW = 32  # a node is compared at once up to so many pairs a member
+FAMILY = 4096  # members that are compared with each other around one hub
+FAMILY_BITS = 72  # differing bits of a member from the hub: a similarity of some 0.45
+SPREAD = 16  # parts that the comparisons of a family are dealt to
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; beyond it the same join shuffles
 SKETCH = "doc_id long, row long, n_shingles long, v long, sig array<int>, s0 long, s1 long, s2 long, s3 long"
 BITS = ["s0", "s1", "s2", "s3"]
@@ -92,10 +98,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                 sig = minwise(found, factors)
                 v = xxhash.xxh3_64_intdigest(found.tobytes())
                 rows.append((doc_id, row, len(found), v - (1 << 64) if v >> 63 else v, sig.view(np.int32), *bit_sketch(sig).tolist()))
-            out = pd.DataFrame(rows, columns=["doc_id", "row", "n_shingles", "v", "sig", *BITS])
-            yield out.astype({c: "Int64" for c in ("doc_id", "v", *BITS)})
+            yield rows
 
-    return docs.select("doc_id", row_key().alias("row"), "text").mapInPandas(sketch, SKETCH)
+    return map_batches(docs.select("doc_id", row_key().alias("row"), "text"), sketch, SKETCH)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -109,29 +114,45 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             found = [shingles(t) for t in batch.text]
             names = [xxhash.xxh3_64_intdigest(f.tobytes()) for f in found]
-            yield pd.DataFrame({"v": np.array(names, np.uint64).view(np.int64), "shingles": [f.view(np.int64) for f in found]})
+            yield {"v": np.array(names, np.uint64).view(np.int64), "shingles": [f.view(np.int64) for f in found]}
 
-    return chosen.mapInPandas(sets, "v long, shingles array<bigint>")
+    return map_batches(chosen, sets, "v long, shingles array<bigint>")
+
+
+LINKED = "100L * size(array_intersect(sa, sb)) >= 75L * (size(sa) + size(sb) - size(array_intersect(sa, sb)))"
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of linked classes, by their full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        sets = sets.join(F.broadcast(ids), "v", "left_semi")
     both = (
         pairs.join(sets.select(F.col("v").alias("a"), F.col("shingles").alias("sa")), "a")
         .join(sets.select(F.col("v").alias("b"), F.col("shingles").alias("sb")), "b")
     )
-    common = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
-    return common.where("100L * i >= 75L * (na + nb - i)").select("a", "b").distinct()
+    return both.where(LINKED).select("a", "b").distinct()
+
+
+def family_links(members: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) within families (hub, v, n, sketch) other than with the
+    hub: the members not linked with it against all members. The full sets
+    travel with the rows, once a member, and only linked pairs come out."""
+    with_hub = links.select(F.col("a").alias("hub"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("hub"), F.col("a").alias("v")))
+    whole = members.join(sets.dropDuplicates(["v"]), "v")
+    apart = whole.where("v <> hub").join(with_hub, ["hub", "v"], "left_anti")
+    one = apart.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))).withColumnRenamed("shingles", "sa").alias("x")
+    two = whole.join(with_hub.withColumn("joined", F.lit(True)), ["hub", "v"], "left").withColumn(
+        "part", F.expr(f"pmod(v, {SPREAD})").cast("int")).withColumnRenamed("shingles", "sb").alias("y")
+    # of two members apart, the pair is met once
+    pairs = one.join(two, F.expr("x.hub = y.hub AND x.part = y.part AND y.v <> y.hub AND x.v <> y.v AND (y.joined OR x.v < y.v)") & alike("x", "y") & F.expr(LINKED))
+    return pairs.select(F.expr("least(x.v, y.v)").alias("a"), F.expr("greatest(x.v, y.v)").alias("b")).distinct()
+
+
+def differing(one: str, two: str) -> str:
+    return "(" + " + ".join(f"bit_count({one}.{s} ^ {two}.{s})" for s in BITS) + ")"
 
 
 def alike(one: str, two: str):
     """Whether sizes and sketches leave a link possible."""
-    bits = " + ".join(f"bit_count({one}.{s} ^ {two}.{s})" for s in BITS)
-    return F.expr(
-        f"100 * least({one}.n, {two}.n) >= 75 * greatest({one}.n, {two}.n) AND {bits} <= {SKETCH_BITS}")
+    return F.expr(f"100 * least({one}.n, {two}.n) >= 75 * greatest({one}.n, {two}.n) AND {differing(one, two)} <= {SKETCH_BITS}")
 
 
 def compare_small(small: DataFrame) -> DataFrame:
@@ -152,53 +173,67 @@ def node_sizes(rows: DataFrame) -> DataFrame:
     return sized.select("node", "m", F.expr("(CAST(m AS DOUBLE) * m - q) / 2").alias("cross"), F.col("t.g").alias("top")).where("cross > 0")
 
 
+def hubs_of(full: DataFrame, depth: int) -> DataFrame:
+    """One row a node: its class that agrees most with the node's most
+    frequent values of ``MODES`` tokens, among those with a label of their own."""
+    told = [COORDS - 1 - (depth * MODES + k) % COORDS for k in range(MODES)]
+    values = full.select("node", F.posexplode(F.array(*[F.col("sig")[t] for t in told])).alias("k", "value"))
+    most = values.groupBy("node", "k", "value").count().groupBy("node", "k").agg(F.max(F.struct("count", "value")).alias("t"))
+    modes = most.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("k", F.col("t.value")))).alias("modes"))
+    score = sum((F.when(F.col("modes")[k] == F.col("sig")[t], 1).otherwise(0) for k, t in enumerate(told)), F.lit(0))
+    best = full.where("g = v").join(modes, "node").groupBy("node").agg(F.max(F.struct(score.alias("score"), "v", "n", *BITS)).alias("h"))
+    return best.select("node", "h.*")
+
+
+def children(rows: DataFrame) -> DataFrame:
+    """Every row under two tokens that its node's hash chooses."""
+    first = F.expr(f"pmod(xxhash64(node, 1), {COORDS})")
+    second = F.expr(f"pmod(pmod(xxhash64(node, 1), {COORDS}) + 1 + pmod(xxhash64(node, 2), {COORDS - 1}), {COORDS})")
+    child = F.explode(F.array(*[F.xxhash64("node", at, F.col("sig")[at.cast("int")]) for at in (first, second)]))
+    return rows.select("v", "n", *BITS, "g", child.alias("node"))
+
+
 def links(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """Linked pairs (a, b) of classes, enough of them to connect every
     component."""
     roots = [F.struct(F.xxhash64(F.lit(t), F.col("sig")[t]).alias("node")) for t in range(TREES)]
-    start = classes.select("v", "n", *BITS, F.col("v").alias("g"), F.inline(F.array(*roots)))
-    rows, found, depth = start, [], 0
-    sets = None
+    rows = classes.select("v", "n", *BITS, F.col("v").alias("g"), F.inline(F.array(*roots)))
+    found, depth = [], 0
     while True:
         sized = scratch.write(rows.join(node_sizes(rows), "node"), f"nodes-{depth}")
-        if depth:
-            scratch.drop(f"rows-{depth}")
-        if sized.isEmpty():
-            break
-        if sets is None:
-            sets = scratch.write(full_sets(docs, sized.select("v").distinct().join(classes, "v")), "sets")
-        small, large = sized.where(f"cross <= {PAIRS_PER_ROW} * m"), sized.where(f"cross > {PAIRS_PER_ROW} * m")
-        pairs = scratch.write(compare_small(small), f"pairs-{depth}")
-        found.append(scratch.write(confirmed(pairs, sets), "links"))
-        scratch.drop(f"pairs-{depth}")
-        if large.isEmpty():
-            break
-        # the class most like its whole node, among those in no group yet
-        told = [(COORDS - 1 - (depth * MODES + k) % COORDS) for k in range(MODES)]
-        full = scratch.write(large.join(classes.select("v", "sig"), "v"), f"large-{depth}")
-        values = full.select("node", F.posexplode(F.array(*[F.col("sig")[t] for t in told])).alias("k", "value"))
-        most = values.groupBy("node", "k", "value").count().groupBy("node", "k").agg(F.max(F.struct("count", "value")).alias("t"))
-        modes = most.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("k", F.col("t.value")))).alias("modes"))
-        score = sum((F.when(F.col("modes")[k] == F.col("sig")[t], 1).otherwise(0) for k, t in enumerate(told)), F.lit(0))
-        hubs = (
-            full.where("g = v").join(modes, "node")
-            .groupBy("node").agg(F.max(F.struct(score.alias("score"), "v", "n", *BITS)).alias("h")).select("node", "h.*")
-        )
-        near = full.alias("x").join(hubs.alias("y"), F.expr("x.node = y.node AND x.v <> y.v") & alike("x", "y"))
-        near = scratch.write(near.select("x.node", "x.v", "x.g", F.col("y.v").alias("hub")), f"near-{depth}")
-        pairs = near.select(F.least("v", "hub").alias("a"), F.greatest("v", "hub").alias("b")).distinct()
+        scratch.drop(f"rows-{depth}")
+        pairs = compare_small(sized.where(f"cross <= {PAIRS_PER_ROW} * m"))
+        large = sized.where(f"cross > {PAIRS_PER_ROW} * m")
+        last = large.isEmpty()
+        if not last:
+            full = scratch.write(large.join(classes.select("v", "sig"), "v"), f"large-{depth}")
+            near = full.alias("x").join(hubs_of(full, depth).alias("y"), F.expr(f"x.node = y.node AND {differing('x', 'y')} <= {FAMILY_BITS}"))
+            bits = [F.col(f"x.{c}") for c in ("v", "n", *BITS, "g")]
+            near = scratch.write(near.select("x.node", *bits, F.col("y.v").alias("hub"), alike("x", "y").alias("alike")), f"near-{depth}")
+            spokes = near.where("alike AND v <> hub").select(F.least("v", "hub").alias("a"), F.greatest("v", "hub").alias("b"))
+            members = near.select("hub", "v", "n", *BITS).dropDuplicates(["hub", "v"])
+            sizes = members.groupBy("hub").agg((F.count("*") <= FAMILY).alias("whole"))
+            members = scratch.write(members.join(sizes, "hub"), f"families-{depth}")
+            pairs = pairs.unionByName(spokes)
+        pairs = scratch.write(pairs.distinct(), f"pairs-{depth}")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("v"))
+        if not last:
+            ids = ids.unionByName(members.where("whole").select("v"))
+        wanted = scratch.write(classes.join(ids.distinct(), "v").select("doc_id"), f"wanted-{depth}")
+        sets = scratch.write(full_sets(docs, wanted), f"sets-{depth}")
         linked = scratch.write(confirmed(pairs, sets), "links")
         found.append(linked)
-        joined = near.where("g = v").join(linked, F.expr("a = least(v, hub) AND b = greatest(v, hub)")).select("node", "v", "hub")
-        grouped = full.join(joined, ["node", "v"], "left").withColumn("g", F.coalesce("hub", "g"))
-        first = F.expr(f"pmod(xxhash64(node, 1), {COORDS})")
-        second = F.expr(f"pmod(pmod(xxhash64(node, 1), {COORDS}) + 1 + pmod(xxhash64(node, 2), {COORDS - 1}), {COORDS})")
-        child = F.explode(F.array(*[F.xxhash64("node", at, F.col("sig")[at.cast("int")]) for at in (first, second)]))
-        rows = scratch.write(grouped.select("v", "n", *BITS, "g", child.alias("node")), f"rows-{depth + 1}")
-        scratch.drop(f"large-{depth}", f"near-{depth}", f"nodes-{depth}")
+        if last:
+            scratch.drop(f"nodes-{depth}", f"pairs-{depth}", f"sets-{depth}", f"wanted-{depth}")
+            break
+        found.append(scratch.write(family_links(members.where("whole"), linked, sets), "links"))
+        spoke = linked.select("a", "b", F.lit(True).alias("linked"))
+        judged = near.join(members.select("hub", "v", "whole"), ["hub", "v"]).join(spoke, F.expr("a = least(v, hub) AND b = greatest(v, hub)"), "left")
+        label = judged.where("whole OR (linked AND g = v)").select("node", "v", "hub")
+        rows = scratch.write(children(full.join(label, ["node", "v"], "left").withColumn("g", F.coalesce("hub", "g"))), f"rows-{depth + 1}")
+        scratch.drop(*(f"{t}-{depth}" for t in ("nodes", "large", "near", "families", "pairs", "sets", "wanted")))
         depth += 1
-    scratch.drop("sets")
-    out = found[0] if found else classes.select(F.col("v").alias("a"), F.col("v").alias("b")).limit(0)
+    out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
     return out.distinct()

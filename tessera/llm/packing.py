@@ -18,7 +18,6 @@ packed once each; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import base64
 import json
 import random
 import zlib
@@ -29,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import map_batches
 from tessera.session import Scratch
 
 CAPACITY = 2048
@@ -93,9 +93,9 @@ def token_pieces(docs: DataFrame, tokenizer_file: str) -> DataFrame:
                 ids = encoder.ids(text)
                 for k, (start, length) in enumerate(cut(len(ids))):
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            yield rows
 
-    return docs.select("doc_id", "text").mapInPandas(pieces, PIECES)
+    return map_batches(docs.select("doc_id", "text"), pieces, PIECES)
 
 
 # ------------------------------------------------------------ the algorithm
@@ -227,7 +227,9 @@ def pack(pieces: DataFrame, scratch: Scratch) -> DataFrame:
         # equal rows may be many: their place among the rows of a task spreads them
         mixed = F.xxhash64(spread, F.monotonically_increasing_id(), F.lit(epoch)) if epoch == 0 else F.xxhash64("origin", F.lit(epoch))
         dealt = scratch.write(left.withColumn("island", F.pmod(mixed, F.lit(islands)) + (epoch << 40)), f"dealt-{epoch}")
-        packed = scratch.write(dealt.groupBy("island").applyInPandas(_island, PACKED), f"packed-{epoch}")
+        # as text, ids pass pandas unchanged beside nulls
+        found = dealt.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("island").applyInPandas(_island, PACKED.replace("doc_id long", "doc_id string"))
+        packed = scratch.write(found.withColumn("doc_id", F.col("doc_id").cast("long")), f"packed-{epoch}")
         scratch.drop(f"dealt-{epoch}")
         number = F.col("island") * (1 << 16) + F.col("bin")
         ready = packed if epoch == EPOCHS - 1 else packed.where(F.col("free") <= NEARLY_FULL)

@@ -32,12 +32,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_side
+from tessera.llm.common import map_batches
 from tessera.session import Scratch
 
 LENGTH, GRAM = 200, 64
@@ -166,9 +165,9 @@ def _all_runs(texts: DataFrame, reduce: bool) -> DataFrame:
                 new = np.concatenate([[True], e[order][1:] != e[order][:-1]])
                 edge = order[new | np.concatenate([new[1:], [True]])]
                 g, e, at, key = g[edge], e[edge], at[edge], key[edge]
-            yield pd.DataFrame({"g": _signed(g), "e": _signed(e), "key": key, "at": at})
+            yield {"g": _signed(g), "e": _signed(e), "key": key, "at": at}
 
-    return texts.mapInPandas(find, RUNS)
+    return map_batches(texts.select("key", "text"), find, RUNS)
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -190,17 +189,17 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     def open_runs(batches):
         hasher = Hasher()
         for batch in batches:
-            parts = []
+            parts: list = []
             for key, text, places in zip(batch.key, batch.text, batch.places):
                 for again in (False, True):
                     at = np.array([p["at"] for p in places if p["again"] == again], np.int64)
                     if len(at):
                         starts, names = positions(text.encode(), np.sort(at), hasher)
-                        parts.append(pd.DataFrame({"h": _signed(names), "key": key, "start": starts, "again": again}))
+                        parts.append((_signed(names), np.full(len(starts), key), starts, np.full(len(starts), again)))
             if parts:
-                yield pd.concat(parts)
+                yield dict(zip(("h", "key", "start", "again"), (np.concatenate(x) for x in zip(*parts))))
 
-    single = some.select("key", "text", "places").mapInPandas(open_runs, "h long, key long, start long, again boolean")
+    single = map_batches(some.select("key", "text", "places"), open_runs, "h long, key long, start long, again boolean")
     same = W.partitionBy("h")
     pairs = single.withColumn("many", (F.min("key").over(same) != F.max("key").over(same)) | (F.min("start").over(same) != F.max("start").over(same)))
     alone = pairs.where("many AND NOT again").select("key", "start", (F.col("start") + LENGTH).alias("end"))
@@ -211,9 +210,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     def merge(batches):
         for batch in batches:
             found = [merged(np.array([(s["start"], s["end"]) for s in spans], np.int64)) for spans in batch.spans]
-            yield pd.DataFrame({"key": batch.key, "spans": [[{"start": int(a), "end": int(b)} for a, b in f] for f in found]})
+            yield {"key": batch.key, "spans": [[{"start": int(a), "end": int(b)} for a, b in f] for f in found]}
 
-    return scratch.write(listed.mapInPandas(merge, "key long, spans array<struct<start: long, end: long>>"), "spans")
+    return scratch.write(map_batches(listed, merge, "key long, spans array<struct<start: long, end: long>>"), "spans")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
@@ -237,6 +236,6 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                     gone += span["end"] - span["start"]
                 digest.update(data[at:])
                 rows.append((doc_id, len(data), gone, len(spans), digest.hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
+            yield rows
 
-    return own.select("doc_id", "text", "spans").mapInPandas(cut, RESULT)
+    return map_batches(own.select("doc_id", "text", "spans"), cut, RESULT)

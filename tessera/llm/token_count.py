@@ -21,9 +21,10 @@ from __future__ import annotations
 import re
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import DataFrame
 
+from tessera.llm.common import map_batches
+
 UNKNOWN_PENALTY = 10.0
 MARK = "\u2581"
 MEMO_WORDS, MEMO_CHARS = 300_000, 48
@@ -94,10 +95,6 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]]) -> DataFr
         counter = Counter(shared.value)
         for batch in batches:
             found = [counter.tokens(t) for t in batch.text]
-            yield pd.DataFrame({
-                "doc_id": pd.array(batch.doc_id, dtype="Int64"),
-                "n_tokens": [n for n, _ in found],
-                "best_score": [s for _, s in found],
-            })
+            yield {"doc_id": batch.doc_id, "n_tokens": [n for n, _ in found], "best_score": [s for _, s in found]}
 
-    return docs.select("doc_id", "text").mapInPandas(count, "doc_id long, n_tokens long, best_score double")
+    return map_batches(docs.select("doc_id", "text"), count, "doc_id long, n_tokens long, best_score double")

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_side
+from tessera.llm.common import map_batches, small_side
 from tessera.session import Scratch, scratch_path
 
 BLOCK_LINES = 300
@@ -187,8 +187,13 @@ def captures(pages: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf("string")
-def sort_key(urls: pd.Series, ids: pd.Series) -> pd.Series:
-    return pd.Series([line_key(url_key(u), None if pd.isna(i) else int(i)) for u, i in zip(urls, ids)], dtype=object)
+def _sort_key(urls: pd.Series, ids: pd.Series) -> pd.Series:
+    return pd.Series([line_key(url_key(u), None if i is None else int(i)) for u, i in zip(urls, ids)], dtype=object)
+
+
+def sort_key(url: str, page_id: str):
+    # as text, ids pass pandas unchanged beside nulls
+    return _sort_key(F.col(url), F.col(page_id).cast("long").cast("string"))
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
@@ -215,19 +220,18 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                     name, at = f"part-{uuid.uuid4().hex}", 0
                     out = system.open_output_stream(f"{base}/{name}.warc.gz", compression=None)
                     index = IndexWriter(system.open_output_stream(f"{base}/{name}.index", compression=None))
-                ids = [None if pd.isna(x) else int(x) for x in (page_id, first)]
-                member = record(ids[0], url, html.encode(), ids[1], ids[1] is not None)
+                member = record(page_id, url, html.encode(), first, first is not None)
                 out.write(member)
                 index.add(key, name, at, len(member))
                 at += len(member)
         if out is not None:
             close()
-        yield pd.DataFrame(done, columns=["first_key", "last_key", "index_file", "lines"])
+        yield done
 
     own = captures(pages).withColumn("key", sort_key("url", "page_id"))
     # pages of one key may be many: the order within it doesn't matter
     placed = own.repartitionByRange("key", F.xxhash64("html")).sortWithinPartitions("key")
-    return placed.select("key", "page_id", "url", "html", "refers_to").mapInPandas(write, FILES)
+    return map_batches(placed.select("key", "page_id", "url", "html", "refers_to"), write, FILES)
 
 
 def read_captures(keys: DataFrame, files: DataFrame, folder: str) -> DataFrame:
@@ -259,11 +263,10 @@ def read_captures(keys: DataFrame, files: DataFrame, folder: str) -> DataFrame:
                         archive = held(archives, name, lambda: system.open_input_file(f"{base}/{name}.warc.gz"))
                         rows.append(parse(archive.read_at(length, at)))
                     k -= 1
-            out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield rows
 
     near = keys.distinct().repartitionByRange("key").sortWithinPartitions("key")
-    return near.mapInPandas(read, CAPTURES)
+    return map_batches(near, read, CAPTURES)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
@@ -271,5 +274,5 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
     files = Scratch(spark).write(write_archives(pages, folder), "warc-files")
-    keys = pages.select(sort_key("url", F.col("page_id").cast("long")).alias("key"))
+    keys = pages.select(sort_key("url", "page_id").alias("key"))
     return read_captures(keys, files, folder)
