@@ -38,16 +38,16 @@ _EAST_STEPS = (192000.0, 96000.0, 48000.0, 24000.0, 6000.0, 3000.0)
 _BASE = f"[{ROW_LETTERS}][{COLUMN_DIGITS}]"
 # level -> full-match pattern of a well-formed name
 LEVEL_PATTERNS = (
-    (0, f"^{_BASE}$"),
-    (1, f"^{_BASE}[LR]$"),
-    (2, f"^{_BASE}[1-4]$"),
-    (3, f"^{_BASE}[1-4][LR]$"),
-    (4, f"^{_BASE}[1-4]{{2}}$"),
-    (5, f"^{_BASE}[1-4]{{2}}[LR]$"),
-    (6, f"^{_BASE}[1-4]{{3}}$"),
-    (7, f"^{_BASE}[1-4]{{3}}[LR]$"),
-    (8, f"^{_BASE}[1-4]{{3}}[A-H]$"),
-    (9, f"^{_BASE}[1-4]{{3}}[A-H][1-4]$"),
+    (0, f"^{_BASE}\\z"),
+    (1, f"^{_BASE}[LR]\\z"),
+    (2, f"^{_BASE}[1-4]\\z"),
+    (3, f"^{_BASE}[1-4][LR]\\z"),
+    (4, f"^{_BASE}[1-4]{{2}}\\z"),
+    (5, f"^{_BASE}[1-4]{{2}}[LR]\\z"),
+    (6, f"^{_BASE}[1-4]{{3}}\\z"),
+    (7, f"^{_BASE}[1-4]{{3}}[LR]\\z"),
+    (8, f"^{_BASE}[1-4]{{3}}[A-H]\\z"),
+    (9, f"^{_BASE}[1-4]{{3}}[A-H][1-4]\\z"),
 )
 
 
@@ -139,24 +139,19 @@ def tile_anchor(tile: Column | str, anchor: str = "sw",
     t = _c(tile)
     level = tile_level(t) if level is None else _c(level)
 
-    def ch(i: int) -> Column:
-        return F.substring(t, i + 1, 1)
-
-    def flag(i: int, chars: str) -> Column:
-        return F.when(ch(i).isin(*chars), F.lit(1.0)).otherwise(F.lit(0.0))
-
-    row = (F.instr(F.lit(ROW_LETTERS), ch(0)) - 1).cast("double")
-    col = ch(1).try_cast("double")
-    eighth = (F.when(ch(5).isin("C", "D"), F.lit(1.0))
-              .when(ch(5).isin("E", "F", "R"), F.lit(2.0))
-              .when(ch(5).isin("G", "H"), F.lit(3.0))
-              .otherwise(F.lit(0.0)))
-    x = (F.lit(ORIGIN_X) + col * 192000.0
-         + flag(2, "34R") * 96000.0 + flag(3, "34R") * 48000.0 + flag(4, "34R") * 24000.0
-         + eighth * 6000.0 + flag(6, "34") * 3000.0)
-    y = (F.lit(ORIGIN_Y) + row * 96000.0
-         + flag(2, "24") * 48000.0 + flag(3, "24") * 24000.0 + flag(4, "24") * 12000.0
-         + flag(5, "BDFH") * 6000.0 + flag(6, "24") * 3000.0)
+    # A code's position p in its list is 2 * east + north; an R half sheet is
+    # its parent's east half, an L one the west half (no offset).
+    row = (F.instr(F.lit(ROW_LETTERS), F.substring(t, 1, 1)) - 1).cast("double")
+    x = F.lit(ORIGIN_X) + F.substring(t, 2, 1).try_cast("double") * F.lit(_EAST_STEPS[0])
+    y = F.lit(ORIGIN_Y) + row * F.lit(_NORTH_STEPS[0])
+    for j in range(1, 6):
+        code = F.substring(t, j + 2, 1)
+        codes = EIGHTH_CODES if j == 4 else QUADRANT_CODES
+        place = F.greatest(F.instr(F.lit(codes), code) - 1, F.lit(0))
+        halves = len(codes) // 4  # east steps of a half sheet
+        half = F.when((code == "R") & (F.length(t) == j + 2), F.lit(halves)).otherwise(F.lit(0))
+        x = x + (F.floor(place / 2) + half) * F.lit(_EAST_STEPS[j])
+        y = y + (place % 2) * F.lit(_NORTH_STEPS[j])
     w, h = tile_size(t, level)
     ok = level >= 0
     return (F.when(ok, x + F.lit(fx) * w.cast("double")),

@@ -1,5 +1,5 @@
 """Dirty-row handling: one policy for every path — a row is dropped when any
-feature is null (or blank text); the rejects are counted, never hidden."""
+feature is null, NaN or blank text; the rejects are counted, never hidden."""
 
 from __future__ import annotations
 
@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 
 def _present(df: DataFrame, c: str) -> Column:
     """Explicit IS NOT NULL (pushed into the parquet scan, unlike na.drop)."""
-    cond = F.col(c).isNotNull()
-    if isinstance(df.schema[c].dataType, T.StringType):
+    cond, kind = F.col(c).isNotNull(), df.schema[c].dataType
+    if isinstance(kind, T.StringType):
         cond = cond & (F.length(F.trim(F.col(c))) > 0)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        cond = cond & ~F.isnan(c)
     return cond
 
 
@@ -32,10 +34,10 @@ def reject_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     partial aggregation in every task)."""
     keep = None
     for c in cols:
-        p = _present(df, c)
+        p = F.coalesce(_present(df, c), F.lit(False))
         keep = p if keep is None else keep & p
     aggs = [F.count(F.lit(1)).alias("n_rows"),
             F.count_if(keep).alias("n_clean"),
             F.count_if(~keep).alias("n_rejected")]
-    aggs += [F.count_if(~_present(df, c)).alias(f"missing_{c}") for c in cols]
+    aggs += [F.count_if(~F.coalesce(_present(df, c), F.lit(False))).alias(f"missing_{c}") for c in cols]
     return df.agg(*aggs)

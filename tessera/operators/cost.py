@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.distance import euclidean_distance
 
-# Above this many groups the per-group means are joined without a broadcast
-# hint (AQE still broadcasts them when the runtime size allows).
-BROADCAST_GROUP_LIMIT = 1_000_000
+# Means that take more than this are not broadcast but joined on a salted key.
+BROADCAST_BYTES = 64 << 20
+LABEL_BYTES = 64  # allowed for a group's label and row overhead
+SALTS = 64
 
 
 def member_means(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -24,14 +25,20 @@ def sum_distance_to_mean(df: DataFrame, features: Sequence[str], label: str,
                          max_groups: int | None = None) -> DataFrame:
     """One row ``cost`` = Σ over rows of the distance to its group's mean.
 
-    The means table has one row per group; when the caller knows the group
-    count is bounded (k clusters) it is broadcast, so the n-row side never
-    shuffles and a dominant cluster cannot skew a join partition.
+    The means table has one row per group, null labels being a group too. It
+    is counted first (or bounded by ``max_groups``, k clusters) and broadcast
+    when its bytes fit, so the n rows never shuffle. Beyond that the join key
+    is salted and the means are repeated for every salt, so that a dominant
+    group is spread over SALTS partitions.
     """
-    means = member_means(df, features, label)
-    if max_groups is not None and max_groups <= BROADCAST_GROUP_LIMIT:
-        means = F.broadcast(means)
-    joined = df.join(means, on=label, how="left")
+    means = member_means(df, features, label).withColumnRenamed(label, "_group")
+    groups = means.count() if max_groups is None else max_groups
+    if groups * (8 * len(features) + LABEL_BYTES) <= BROADCAST_BYTES:
+        joined = df.join(F.broadcast(means), F.col(label).eqNullSafe(F.col("_group")), "left")
+    else:
+        salted = df.withColumn("_salt", F.pmod(F.hash(*features), F.lit(SALTS)))
+        spread = means.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(spread, F.col(label).eqNullSafe(F.col("_group")) & (F.col("_salt") == F.col("_part")), "left")
     dist = euclidean_distance([F.col(f) for f in features], [F.col(f"avg_{f}") for f in features])
     return joined.agg(F.sum(dist).alias("cost"))
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tessera.operators.cost import sum_distance_to_mean
-from tessera.operators.kmeans_ml import assemble, fit_kmeans
+from tessera.operators.kmeans_ml import assemble, fit_kmeans, fit_facts
 from tessera.operators.lloyd import lloyd_sweep
 from tessera.operators.materialize import for_reuse, release
 from tessera.sources.local import literal_table
@@ -23,29 +24,44 @@ ELBOW_SCHEMA = T.StructType([
 ])
 
 
+FACTS_SCHEMA = T.StructType(ELBOW_SCHEMA.fields + [
+    T.StructField("n_rows", T.LongType(), False),
+    T.StructField("n_assigned", T.LongType(), False),
+    T.StructField("n_off_nearest", T.LongType(), False),
+    T.StructField("within_k", T.BooleanType(), False),
+    T.StructField("cost_again", T.DoubleType(), True),
+])
+
+
 def elbow_kmeans(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEFAULT_KS,
-                 seed: int = 1, concurrent_fits: int = 4) -> DataFrame:
+                 seed: int = 1, concurrent_fits: int = 4, id_col: str = "id", facts: bool = False) -> DataFrame:
     """MLlib k-means for every k on one persisted feature table; cost = Σ
     Euclidean distance of each point to its cluster's member mean.
 
     The fits are independent, so up to ``concurrent_fits`` of them are
     submitted from driver threads at once (Spark schedules the concurrent
-    jobs on the same executors). Each fit is seeded, so the curve does not
-    depend on the concurrency.
+    jobs on the same executors). Each fit is seeded and reads the same layout
+    by id, so the curve depends neither on the concurrency nor on the cluster.
+    Every k predicts once; with ``facts`` the columns of FACTS_SCHEMA follow.
     """
-    vec = for_reuse(assemble(df.select(*features), features))
+    vec = for_reuse(assemble(df.select(id_col, *features), features), key=id_col)
 
     def one(k: int):
-        _, pred = fit_kmeans(vec, features, k, seed=seed, assembled=True)
-        cost = sum_distance_to_mean(pred, features, "prediction", max_groups=k).first()["cost"]
-        return (int(k), float(cost) if cost is not None else None, "sum_distance")
+        model, pred = fit_kmeans(vec, features, k, seed=seed, assembled=True)
+        pred = pred.select("prediction", *features).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            cost = sum_distance_to_mean(pred, features, "prediction", max_groups=k).first()["cost"]
+            row = (int(k), float(cost) if cost is not None else None, "sum_distance")
+            return row + fit_facts(model, pred, features, k) if facts else row
+        finally:
+            pred.unpersist()
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, concurrent_fits)) as pool:
             rows = list(pool.map(one, ks))
     finally:
         release(vec)
-    return literal_table(df.sparkSession, rows, ELBOW_SCHEMA)
+    return literal_table(df.sparkSession, rows, FACTS_SCHEMA if facts else ELBOW_SCHEMA)
 
 
 def elbow_lloyd(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEFAULT_KS,

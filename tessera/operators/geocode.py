@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.projection import latlon_to_xy, xy_to_latlon
-from tessera.functions.tiles import tile_of_xy
+from tessera.operators.tiles import cover, with_tile
 
 
 def to_latlon(df: DataFrame, x: str = "x", y: str = "y", lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -19,9 +19,15 @@ def to_xy(df: DataFrame, lat: str = "lat", lon: str = "lon", x: str = "x", y: st
     return df.withColumns({x: xx, y: yy})
 
 
-def tile_of_latlon(df: DataFrame, lat: str = "lat", lon: str = "lon", out: str = "tile") -> DataFrame:
-    xx, yy = latlon_to_xy(lat, lon)
-    return df.withColumn(out, tile_of_xy(xx, yy))
+def tile_of_latlon(df: DataFrame, lat: str = "lat", lon: str = "lon", out: str = "tile", level: int = 9,
+                   uniq: bool = False, order_col: str = "id") -> DataFrame:
+    """Adds the tile name at ``level``; with ``uniq`` the distinct tiles with
+    their first-seen ``order_col`` and count. The projection is evaluated once
+    into columns of its own, which the tile digits then read."""
+    placed = to_xy(df, lat, lon, "_x", "_y")
+    if uniq:
+        return cover(placed, "_x", "_y", level, order_col, out)
+    return with_tile(placed, "_x", "_y", out, level).drop("_x", "_y")
 
 
 def geocode(df: DataFrame, x: str = "x", y: str = "y", label: str | None = "label") -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -30,6 +32,33 @@ def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 1,
     return model, model.transform(vec)
 
 
+def fit_facts(model: KMeansModel, pred: DataFrame, features: Sequence[str], k: int) -> tuple:
+    """(rows, rows with a label, rows whose label is not that of a nearest
+    model centre, whether labels stay below k, Σ distance to the member mean
+    by literal means) — what any k-means result must satisfy."""
+    centres = np.array([np.asarray(c) for c in model.clusterCenters()])
+    means = {r.prediction: [r[f] for f in features]
+             for r in pred.groupBy("prediction").agg(*[F.avg(f).alias(f) for f in features]).collect()}
+    centroids = np.array([means.get(i, centres[i]) for i in range(len(centres))])
+    step = max(1, (1 << 20) // len(centres))
+
+    @F.pandas_udf("off boolean, distance double")
+    def judge(batch: pd.DataFrame) -> pd.DataFrame:
+        pts, labels = batch.iloc[:, 1:].to_numpy(np.float64), batch.iloc[:, 0].to_numpy()
+        off = np.zeros(len(pts), bool)
+        for at in range(0, len(pts), step):
+            d2 = ((pts[at:at + step, None, :] - centres[None]) ** 2).sum(axis=2)
+            own = d2[np.arange(len(d2)), labels[at:at + step]]
+            off[at:at + step] = own > d2.min(axis=1) * (1 + 1e-6) + 1e-12
+        return pd.DataFrame({"off": off, "distance": np.sqrt(((pts - centroids[labels]) ** 2).sum(axis=1))})
+
+    found = pred.select("prediction", judge(F.struct("prediction", *features)).alias("j")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("assigned"), F.count_if("j.off").alias("off"),
+        F.coalesce(F.max("prediction"), F.lit(0)).alias("top"), F.countDistinct("prediction").alias("clusters"),
+        F.sum("j.distance").alias("cost")).first()
+    return (found["n"], found["assigned"], found["off"], bool(found["top"] < k and found["clusters"] <= k), found["cost"])
+
+
 def member_centroids(pred: DataFrame, mm: MinMax, mapping: dict[str, str],
                      label: str = "prediction") -> DataFrame:
     """Per cluster: size and mean of the assigned members, mapped back to

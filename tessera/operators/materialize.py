@@ -7,24 +7,27 @@ from pyspark.sql import DataFrame
 
 from tessera.session import shared_dir
 
+ROWS_PER_PARTITION = 1_000_000
+LEAST_PARTITIONS = 8
 
-def for_reuse(df: DataFrame, how: str = "cache") -> DataFrame:
-    """Materialise ``df`` for many passes.
+
+def for_reuse(df: DataFrame, how: str = "cache", key: str = "id", parts: int | None = None) -> DataFrame:
+    """Materialise ``df`` for many passes, laid out by ``key``.
+
+    The rows are hashed on ``key`` into ``parts`` partitions and sorted there,
+    so order-sensitive steps (MLlib's random draws, floating sums) see the
+    same rows in the same places on any cluster. Without ``parts`` their
+    number follows the row count alone, never the cores.
 
     ``cache``: persist MEMORY_AND_DISK; a lost executor's blocks are rebuilt
     from the (short) lineage. ``checkpoint``: write to the cluster's shared
     checkpoint folder, cutting lineage (for long upstream plans).
-
-    Inputs with fewer partitions than the cluster has cores are spread round
-    robin first, so CPU-bound passes use every core. Large inputs already have
-    many partitions and are left as they are (no extra shuffle).
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    if parts is None:
+        parts = max(LEAST_PARTITIONS, -(-df.count() // ROWS_PER_PARTITION))
+    df = df.repartition(parts, key).sortWithinPartitions(key)
     if how == "checkpoint":
-        shared_dir(spark)
+        shared_dir(df.sparkSession)
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 

@@ -16,6 +16,8 @@ def with_tile(df: DataFrame, x: str = "X", y: str = "Y", out: str = "tile", leve
     cut from that column (Catalyst keeps the projection split instead of
     copying the whole expression into every prefix).
     """
+    if level not in range(10):
+        raise ValueError(f"level must be 0..9, got {level}")
     if level == 9:
         return df.withColumn(out, tile_of_xy(x, y))
     full = df.withColumn("_tile9", tile_of_xy(x, y))
@@ -23,11 +25,11 @@ def with_tile(df: DataFrame, x: str = "X", y: str = "Y", out: str = "tile", leve
 
 
 def rollup_counts(df: DataFrame, tile_col: str = "tile") -> DataFrame:
-    """Points per tile at every level 0..9: each level-9 name expands to its
-    10 ancestors (a fixed fan-out of 10), then one aggregation with partial
-    counts per task — a tile holding most points adds no shuffle volume."""
-    exploded = df.select(F.posexplode(tile_rollup(tile_col)).alias("level", "tile"))
-    return exploded.groupBy("level", "tile").agg(F.count(F.lit(1)).alias("n"))
+    """Points per tile at every level 0..9: counted per level-9 name first (at
+    most 133,120 names), then each name's count is added to its 10 ancestors."""
+    own = df.groupBy(F.col(tile_col).alias("_name")).agg(F.count(F.lit(1)).alias("_n"))
+    exploded = own.select("_n", F.posexplode(tile_rollup("_name")).alias("level", "tile"))
+    return exploded.groupBy("level", "tile").agg(F.sum("_n").alias("n"))
 
 
 def cover(df: DataFrame, x: str = "X", y: str = "Y", level: int = 9, order_col: str = "id",

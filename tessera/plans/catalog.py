@@ -15,25 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.cyclic import decode_day
-from tessera.functions.tiles import tile_of_xy, tile_rollup
+from tessera.functions.cyclic import day_number_of_name, decode_day, weekday_number
+from tessera.functions.tiles import ANCHORS, tile_of_xy, tile_rollup
 from tessera.operators import tiles as tile_ops
 from tessera.operators.clean import complete_rows, reject_counts
-from tessera.operators.cost import cluster_sse, member_means, sum_distance_to_mean
+from tessera.operators.cost import cluster_sse, sum_distance_to_mean, total_sse
 from tessera.operators.elbow import DEFAULT_KS
 from tessera.operators.geocode import geocode, tile_of_latlon, to_latlon, to_xy
 from tessera.operators.kmeans_ml import member_centroids
 from tessera.operators.lloyd import assign, lloyd, sample_seeds, seed_centroids, update_stats
 from tessera.operators.preview import preview
 from tessera.operators.scale import extremes, fit_minmax, scale, unscale
-from tessera.operators.weekday import attach_weekday
+from tessera.operators.weekday import attach_weekday, decode_weekday, encode_weekday
 from tessera.plans import oracle_sql as O
 from tessera.plans import pipelines as PL
 from tessera.session import scratch_path
-from tessera.sinks.csv import write_csv
+from tessera.sinks.csv import write_centroids, write_csv, write_elbow, write_geocoded, write_points
 from tessera.sources import fixtures as FX
 from tessera.sources.local import literal_table
-from tessera.sources.delimited import read_accident_lines, read_accidents, read_coordinates
+from tessera.sources.delimited import (
+    coordinate_reject_counts, parse_accident_lines, read_accident_lines, read_accidents, read_coordinates)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,7 @@ LLOYD_MAX_ITER = 200
 FIXED_PASSES = 5      # passes of the fixed-iteration variants
 ELBOW_TOL = 2.0
 ELBOW_MAX_ITER = 50
+CSV_ELBOW_KS = (2, 12)
 
 
 def _r(c, d: int = 6):
@@ -79,6 +81,11 @@ def q_points_clean(spark, sf):
 
 
 def q_raw_line_parse(spark, sf):
+    parsed = parse_accident_lines(FX.accident_lines(spark, sf), id_pos=0)
+    return complete_rows(parsed, ["X", "Y", "Vkpv"]).select("id", "X", "Y", "Vkpv")
+
+
+def q_raw_line_scan(spark, sf):
     path = scratch_path(spark, "accident-lines")
     FX.accident_lines(spark, sf).write.text(path)
     parsed = read_accident_lines(spark, path)
@@ -87,7 +94,8 @@ def q_raw_line_parse(spark, sf):
 
 def q_csv_roundtrip_scan(spark, sf):
     path = scratch_path(spark, "accidents-csv")
-    write_csv(FX.accident_table(spark, sf), path, sep=";")
+    accidents = FX.accident_table(spark, sf)
+    write_csv(accidents.select(*reversed(accidents.columns)), path, sep=";")  # columns are found by name
     df = read_accidents(spark, path, columns=("Onnett_id", "X", "Y", "Vkpv"))
     return complete_rows(df, ["X", "Y", "Vkpv"]).select(
         F.col("Onnett_id").cast("bigint").alias("id"), "X", "Y", "Vkpv")
@@ -95,17 +103,22 @@ def q_csv_roundtrip_scan(spark, sf):
 
 def q_coordinate_csv_scan(spark, sf):
     path = scratch_path(spark, "coords-csv")
-    FX.coordinate_lines(spark, sf).coalesce(1).write.text(path)
+    FX.coordinate_lines(spark, sf).write.text(path)
     return read_coordinates(spark, path).select("x", "y", "label")
 
 
+def q_coordinate_rejects(spark, sf):
+    return coordinate_reject_counts(FX.coordinate_lines(spark, sf))
+
+
 def q_dirty_reject_counts(spark, sf):
     enc = attach_weekday(_points(spark, sf))
     return reject_counts(enc, ["X", "Y", "dow_x", "dow_y"])
 
 
 def q_weekday_dim_join(spark, sf):
-    return attach_weekday(_points(spark, sf)).select("id", "X", "Y", "dow_x", "dow_y")
+    nothing = F.lit(None).cast("double")
+    return attach_weekday(_points(spark, sf)).select("id", F.nanvl("X", nothing).alias("X"), "Y", "dow_x", "dow_y")
 
 
 def q_weekday_cyclic_decode(spark, sf):
@@ -113,6 +126,14 @@ def q_weekday_cyclic_decode(spark, sf):
     return enc.select("id", "name", _r(decode_day("dow_x", "dow_y"), 9).alias("dow"))
 
 
+def q_weekday_number_round_trip(spark, sf):
+    """Weekday by number, no join, and back; with the number of the name."""
+    ev = FX.table(spark, sf, "events").select("event_id", weekday_number("ts").alias("day"))
+    both = decode_weekday(encode_weekday(ev, "day")).join(
+        _points(spark, sf).select("id", day_number_of_name("Vkpv").alias("named")), F.col("event_id") == F.col("id"))
+    return both.select("id", "day", "named", _r("dow", 9).alias("dow"))
+
+
 # ---------------------------------------------------------------- scaling
 
 def q_extremes_2d(spark, sf):
@@ -164,14 +185,11 @@ def q_group_centroids_4d(spark, sf):
     return c.select("cluster", "n", *[_r(k).alias(k) for k in ("x", "y", "dow_x", "dow_y", "dow")])
 
 
-EMB_DIMS = 64
-
-
 def q_group_centroids_nd(spark, sf):
+    """Mean vector per group, one row a position, whatever the vectors' length."""
     emb = FX.table(spark, sf, "embeddings")
-    wide = emb.select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIMS)])
-    means = member_means(wide, [f"e{i}" for i in range(EMB_DIMS)], "label")
-    return means.select("label", *[_r(f"avg_e{i}").alias(f"avg_e{i}") for i in range(EMB_DIMS)])
+    each = emb.select("label", F.posexplode("embedding").alias("pos", "e"))
+    return each.groupBy("label", "pos").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("e").cast("double")), 6).alias("avg_e"))
 
 
 def q_cost_l2_sum_2d(spark, sf):
@@ -190,6 +208,11 @@ def q_cost_sse(spark, sf):
     return s.select("event_type", "n", *[_r(f, 8).alias(f) for f in PL.FEATURES_4D], _r("sse", 6).alias("sse"))
 
 
+def q_cost_sse_total(spark, sf):
+    df, _ = _prep4(spark, sf)
+    return total_sse(df, PL.FEATURES_4D, "event_type").select(_r("sse", 6).alias("sse"))
+
+
 # ---------------------------------------------------------------- Lloyd
 
 def q_sample_seeds(spark, sf):
@@ -248,26 +271,102 @@ def q_lloyd_elbow(spark, sf):
     return e.select("NumOfCluster", _r("Cost", 4).alias("Cost"), "metric")
 
 
-# ---------------------------------------------------------------- MLlib k-means (no SQL twin)
+# ---------------------------------------------------------------- MLlib k-means
+#
+# k-means|| draws at random, so SQL cannot give the centroids themselves. The
+# queries run the whole fit and return what any right result must satisfy.
+
+KMEANS_K = {2: 300, 4: 100}
+
+
+def _kmeans_facts(spark, sf, dims: int):
+    cents, (n, assigned, off, within, _) = PL.kmeans_checked(_points(spark, sf), dims, KMEANS_K[dims])
+    sums = cents.agg(
+        F.sum("n").alias("sum_n"),
+        *[F.round(F.sum(F.col("n") * F.col(c)), 0).cast("bigint").alias(f"sum_{c}") for c in ("x", "y")],
+        *[F.round(F.sum(F.col("n") * F.col(c)), 4).alias(f"sum_{c}") for c in ("dow_x", "dow_y") if dims == 4])
+    return sums.select(
+        F.lit(n).cast("bigint").alias("n_rows"), F.lit(assigned).cast("bigint").alias("n_assigned"),
+        F.lit(off).cast("bigint").alias("n_off_nearest"), F.lit(within).alias("within_k"), "*")
+
 
 def q_kmeans_2d(spark, sf):
-    c = PL.kmeans_centroids_2d(_points(spark, sf), k=300, seed=1)
-    return c.select("cluster", "n", _r("x", 4).alias("x"), _r("y", 4).alias("y"))
+    return _kmeans_facts(spark, sf, 2)
 
 
 def q_kmeans_4d(spark, sf):
-    c = PL.kmeans_centroids_4d(_points(spark, sf), k=100, seed=1)
-    return c.select("cluster", "n", _r("x", 4).alias("x"), _r("y", 4).alias("y"), _r("dow", 6).alias("dow"))
+    return _kmeans_facts(spark, sf, 4)
+
+
+def _elbow_facts(spark, sf, dims: int):
+    e = PL.kmeans_elbow(_points(spark, sf), dims=dims, ks=DEFAULT_KS, facts=True)
+    return e.select("NumOfCluster", "metric", "n_rows", "n_assigned", "n_off_nearest", "within_k",
+                    F.expr("Cost > 0 AND abs(Cost - cost_again) <= 1e-6 * Cost").alias("cost_ok"))
 
 
 def q_kmeans_elbow_2d(spark, sf):
-    e = PL.kmeans_elbow(_points(spark, sf), dims=2, ks=DEFAULT_KS)
-    return e.select("NumOfCluster", _r("Cost", 4).alias("Cost"), "metric")
+    return _elbow_facts(spark, sf, 2)
 
 
 def q_kmeans_elbow_4d(spark, sf):
-    e = PL.kmeans_elbow(_points(spark, sf), dims=4, ks=DEFAULT_KS)
-    return e.select("NumOfCluster", _r("Cost", 4).alias("Cost"), "metric")
+    return _elbow_facts(spark, sf, 4)
+
+
+# ---------------------------------------------------------------- result files, written and read back
+
+def _read_back(spark, path: str, schema: str) -> DataFrame:
+    """The files' own header must name the columns in this order."""
+    return spark.read.schema(schema).options(header="true", enforceSchema="false").csv(path)
+
+
+def _group_means_4d(spark, sf):
+    df, mm = _prep4(spark, sf)
+    c = member_centroids(df, mm, PL.MAPPING_4D, label="event_type")
+    return c.withColumn("dow", decode_day("dow_x", "dow_y"))
+
+
+def q_csv_centroids_2d(spark, sf):
+    df, mm = _prep2(spark, sf)
+    path = scratch_path(spark, "csv-centroids-2d")
+    write_centroids(member_centroids(df, mm, PL.MAPPING_2D, label="event_type"), path, ("x", "y"))
+    return _read_back(spark, path, "x double, y double").select(_r("x").alias("x"), _r("y").alias("y"))
+
+
+def q_csv_centroids_4d(spark, sf):
+    path = scratch_path(spark, "csv-centroids-4d")
+    write_centroids(_group_means_4d(spark, sf), path, ("x", "y", "dow"))
+    back = _read_back(spark, path, "x double, y double, dow double")
+    return back.select(*[_r(c).alias(c) for c in back.columns])
+
+
+def q_csv_elbow(spark, sf):
+    path = scratch_path(spark, "csv-elbow")
+    write_elbow(PL.lloyd_elbow(_points(spark, sf), ks=CSV_ELBOW_KS, tol=ELBOW_TOL, max_iter=ELBOW_MAX_ITER, seed=LLOYD_SEED), path)
+    return _read_back(spark, path, "NumOfCluster int, Cost double").select("NumOfCluster", _r("Cost", 4).alias("Cost"))
+
+
+def q_csv_lloyd_centroids(spark, sf):
+    path = scratch_path(spark, "csv-lloyd-centroids")
+    named = _group_means_4d(spark, sf).selectExpr("cluster", "x AS X", "y AS Y", "dow AS Day")
+    write_centroids(named, path, ("X", "Y", "Day"))
+    back = _read_back(spark, path, "X double, Y double, Day double")
+    return back.select(*[_r(c).alias(c) for c in back.columns])
+
+
+def q_csv_points(spark, sf):
+    p = _prep_lloyd(spark, sf)
+    seeds = seed_centroids(p.df, p.features, LLOYD_K, LLOYD_SEED)
+    lab = assign(p.df, p.features, seeds, "Cluster").withColumn("Day", decode_day("dow_x", "dow_y"))
+    path = scratch_path(spark, "csv-points")
+    write_points(lab, path)
+    return _read_back(spark, path, "Cluster int, X double, Y double, Day double").select("Cluster", "X", "Y", _r("Day", 6).alias("Day"))
+
+
+def q_csv_geocoded(spark, sf):
+    path = scratch_path(spark, "csv-geocoded")
+    write_geocoded(geocode(_labelled_centroids(spark, sf)), path)
+    back = _read_back(spark, path, "LONGITUDE double, LATITUDE double, LABEL string")
+    return back.select(_r("LONGITUDE", 7).alias("LONGITUDE"), _r("LATITUDE", 7).alias("LATITUDE"), "LABEL")
 
 
 # ---------------------------------------------------------------- tiles and projection
@@ -287,21 +386,22 @@ def q_tile_rollup_counts(spark, sf):
 def _tile_names(spark, sf) -> DataFrame:
     """Names derived from the points: every roll-up level plus malformed
     variants (too short, too long, illegal letter, two-character L/R name,
-    seven characters ending in R)."""
+    seven characters ending in R, a name and a line end)."""
     t = F.col("_t9")
     variants = F.concat(
         tile_rollup(t),
         F.array(F.substring(t, 1, 1), F.concat(t, F.lit("L")),
                 F.concat(F.lit("O"), F.substring(t, 2, 6)),
                 F.concat(F.substring(t, 1, 1), F.lit("L")),
-                F.concat(F.substring(t, 1, 6), F.lit("R"))))
-    pts = _clean_points(spark, sf).select(tile_of_xy("X", "Y").alias("_t9"))
+                F.concat(F.substring(t, 1, 6), F.lit("R")),
+            F.concat(t, F.lit("\n"))))
+    pts = _clean_points(spark, sf).select(tile_of_xy("X", "Y").alias("_t9")).distinct()
     return pts.select(F.explode(variants).alias("tile")).distinct()
 
 
 def q_tile_describe(spark, sf):
-    d = tile_ops.describe(_tile_names(spark, sf), "tile", ("sw", "c"))
-    return d.select("tile", "level", "width", "height", "anchor_x", "anchor_y", "c_x", "c_y")
+    d = tile_ops.describe(_tile_names(spark, sf), "tile", ("sw", *sorted(set(ANCHORS) - {"sw"})))
+    return d.select("tile", "level", "width", "height", *[c for c in d.columns if c.endswith(("_x", "_y"))])
 
 
 def q_tile_cover(spark, sf):
@@ -313,22 +413,37 @@ def q_project_to_lonlat(spark, sf):
     return ll.select("id", _r("lat", 7).alias("lat"), _r("lon", 7).alias("lon"))
 
 
+def _lonlat_points(spark, sf):
+    """Geographic points made from the event id, independent of the grid."""
+    eid = F.col("event_id")
+    return FX.table(spark, sf, "events").select(
+        eid.alias("id"), (F.lit(60.0) + (eid * 7919) % 990000 / F.lit(100000.0)).alias("lat"),
+        (F.lit(20.0) + (eid * 104729) % 1150000 / F.lit(100000.0)).alias("lon"))
+
+
 def q_project_to_xy(spark, sf):
-    back = to_xy(to_latlon(_clean_points(spark, sf), "X", "Y"), "lat", "lon", "x_back", "y_back")
-    return back.select("id", _r("x_back", 3).alias("x"), _r("y_back", 3).alias("y"))
+    xy = to_xy(_lonlat_points(spark, sf), "lat", "lon", "x", "y")
+    return xy.select("id", _r("x", 3).alias("x"), _r("y", 3).alias("y"))
 
 
 def q_tile_of_lonlat(spark, sf):
-    shifted = _clean_points(spark, sf).select("id", (F.col("X") + 0.5).alias("X"), (F.col("Y") + 0.5).alias("Y"))
-    return tile_of_latlon(to_latlon(shifted, "X", "Y"), "lat", "lon").select("id", "tile")
+    return tile_of_latlon(_lonlat_points(spark, sf)).select("id", "tile")
 
 
-def q_geocode_centroids(spark, sf):
+def q_tile_of_lonlat_uniq(spark, sf):
+    """Distinct level-4 tiles of geographic points, by first sight."""
+    return tile_of_latlon(_lonlat_points(spark, sf), level=4, uniq=True)
+
+
+def _labelled_centroids(spark, sf):
     df, mm = _prep2(spark, sf)
     cents = member_centroids(df, mm, {"X_scaled": "x", "Y_scaled": "y"}, label="event_type")
-    labelled = cents.select(_r("x", 3).alias("x"), _r("y", 3).alias("y"),
-                            F.when(F.col("cluster") != "view", F.col("cluster")).alias("label"))
-    g = geocode(labelled)
+    return cents.select(_r("x", 3).alias("x"), _r("y", 3).alias("y"),
+                        F.when(F.col("cluster") != "view", F.col("cluster")).alias("label"))
+
+
+def q_geocode_centroids(spark, sf):
+    g = geocode(_labelled_centroids(spark, sf))
     return g.select(_r("LONGITUDE", 7).alias("LONGITUDE"), _r("LATITUDE", 7).alias("LATITUDE"), "LABEL")
 
 
@@ -339,11 +454,14 @@ def q_preview(spark, sf):
 QUERIES: dict[str, Query] = {
     "points_clean": q_points_clean,
     "raw_line_parse": q_raw_line_parse,
+    "raw_line_scan": q_raw_line_scan,
     "csv_roundtrip_scan": q_csv_roundtrip_scan,
     "coordinate_csv_scan": q_coordinate_csv_scan,
+    "coordinate_rejects": q_coordinate_rejects,
     "dirty_reject_counts": q_dirty_reject_counts,
     "weekday_dim_join": q_weekday_dim_join,
     "weekday_cyclic_decode": q_weekday_cyclic_decode,
+    "weekday_number_round_trip": q_weekday_number_round_trip,
     "extremes_2d": q_extremes_2d,
     "extremes_4d": q_extremes_4d,
     "minmax_scale": q_minmax_scale,
@@ -355,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "cost_l2_sum_2d": q_cost_l2_sum_2d,
     "cost_l2_sum_4d": q_cost_l2_sum_4d,
     "cost_sse": q_cost_sse,
+    "cost_sse_total": q_cost_sse_total,
     "sample_seeds": q_sample_seeds,
     "nearest_centroid": q_nearest_centroid,
     "lloyd_step": q_lloyd_step,
@@ -367,6 +486,12 @@ QUERIES: dict[str, Query] = {
     "kmeans_4d": q_kmeans_4d,
     "kmeans_elbow_2d": q_kmeans_elbow_2d,
     "kmeans_elbow_4d": q_kmeans_elbow_4d,
+    "csv_centroids_2d": q_csv_centroids_2d,
+    "csv_centroids_4d": q_csv_centroids_4d,
+    "csv_elbow": q_csv_elbow,
+    "csv_lloyd_centroids": q_csv_lloyd_centroids,
+    "csv_points": q_csv_points,
+    "csv_geocoded": q_csv_geocoded,
     "tile_of_point": q_tile_of_point,
     "tile_rollup_counts": q_tile_rollup_counts,
     "tile_describe": q_tile_describe,
@@ -374,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "project_to_lonlat": q_project_to_lonlat,
     "project_to_xy": q_project_to_xy,
     "tile_of_lonlat": q_tile_of_lonlat,
+    "tile_of_lonlat_uniq": q_tile_of_lonlat_uniq,
     "geocode_centroids": q_geocode_centroids,
     "preview": q_preview,
 }
@@ -397,19 +523,22 @@ def oracle() -> dict[str, str]:
     s2 = O.with_ctes(W, PT, EN, C2, C4, O.SCALED2_CTE)
     s4 = O.with_ctes(W, PT, EN, C2, C4, O.SCALED4_CTE)
     sl = O.with_ctes(W, PT, EN, C2, C4, O.LLOYD_PTS_CTE)
-    clean_full = "SELECT id, X, Y, Vkpv FROM points WHERE X IS NOT NULL AND Y IS NOT NULL AND Vkpv IS NOT NULL AND length(trim(Vkpv)) > 0"
+    clean_full = "SELECT id, X, Y, Vkpv FROM points WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL AND Vkpv IS NOT NULL AND length(trim(Vkpv)) > 0"
     li_cols = _LI_COLS
     li_b = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in li_cols)
     li_clean = "SELECT * FROM lineitem WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in li_cols)
     li_scaled = ", ".join(f"round({O.scaled(c, 'lo_' + c, 'hi_' + c)}, 12) AS {c}_scaled" for c in li_cols)
     li_back = ", ".join(
         f"round({_unscale_sql(O.scaled(c, 'lo_' + c, 'hi_' + c), 'lo_' + c, 'hi_' + c)}, 6) AS {c}_back" for c in li_cols)
-    emb_avgs = ", ".join(f"round(avg(CAST(embedding[{i + 1}] AS DOUBLE)), 6) AS avg_e{i}" for i in range(EMB_DIMS))
     l2 = lambda feats: (
         "SELECT round(sum(sqrt(" + " + ".join(f"(s.{f} - m.avg_{f}) * (s.{f} - m.avg_{f})" for f in feats)
         + ")), 6) AS cost FROM {s} s LEFT JOIN (SELECT event_type, "
-        + ", ".join(f"avg({f}) AS avg_{f}" for f in feats) + " FROM {s} GROUP BY event_type) m USING (event_type)")
+        + ", ".join(f"avg({f}) AS avg_{f}" for f in feats) + " FROM {s} GROUP BY event_type) m ON s.event_type IS NOT DISTINCT FROM m.event_type")
     f4 = list(PL.FEATURES_4D)
+    means4 = ("SELECT " + ", ".join(
+        _unscale_sql(f"avg({f})", f"any_value({lo})", f"any_value({hi})") + f" AS {n}"
+        for f, lo, hi, n in zip(f4, ("lx", "ly", "la", "lb"), ("hx", "hy", "ha", "hb"), ("x", "y", "dx", "dy")))
+        + " FROM s4, b4 GROUP BY event_type")
     sse4 = " + ".join(f"var_pop({f}) * count(*)" for f in f4)
     seed_order = f"md5(CAST(id AS VARCHAR) || ':{LLOYD_SEED}')"
     seeds_sql = (f"seeds AS (SELECT row_number() OVER (ORDER BY {seed_order}, id) - 1 AS idx, id, f1, f2, f3, f4 "
@@ -426,26 +555,40 @@ def oracle() -> dict[str, str]:
                 "ON s.model = l.model AND s.pass = l.pass) c GROUP BY p.id, p.X, p.Y, p.dow_x, p.dow_y")
     tile = O.tile_sql("X", "Y")
     names_arr = "[" + ", ".join(O.rollup_sql("t")) + ", substr(t, 1, 1), t || 'L', 'O' || substr(t, 2, 6), " \
-        "substr(t, 1, 1) || 'L', substr(t, 1, 6) || 'R']"
-    sw_x, sw_y = O.anchor_sql("tile", "sw")
-    c_x, c_y = O.anchor_sql("tile", "c")
+        "substr(t, 1, 1) || 'L', substr(t, 1, 6) || 'R', t || chr(10)]"
+    anchors = ", ".join(
+        f"{at} AS {'anchor' if a == 'sw' else a}_{axis}" if a != "0" else f"{at} AS \"0_{axis}\""
+        for a in O.GRID_ANCHORS for axis, at in zip("xy", O.anchor_sql("tile", a)))
     w, h = O.size_sql("tile")
     lat, lon = O.latlon_sql("X", "Y")
-    lat2, lon2 = O.latlon_sql("X + 0.5", "Y + 0.5")
+    gx, gy = O.xy_sql("lat", "lon")
+    lonlat = ("WITH places AS (SELECT event_id AS id, 60.0::DOUBLE + (event_id * 7919) % 990000 / 100000.0::DOUBLE AS lat, "
+              "20.0::DOUBLE + (event_id * 104729) % 1150000 / 100000.0::DOUBLE AS lon FROM events), "
+              f"grid AS (SELECT id, {gx} AS X, {gy} AS Y FROM places) ")
     glat, glon = O.latlon_sql("x", "y")
     lvl = O.level_sql("tile")
     return {
         "points_clean": base + clean_full,
         "raw_line_parse": base + clean_full,
+        "raw_line_scan": base + clean_full,
         "csv_roundtrip_scan": base + clean_full,
-        "coordinate_csv_scan": base + "SELECT X AS x, Y AS y, CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS label FROM points WHERE X IS NOT NULL",
+        "coordinate_csv_scan": base + "SELECT X AS x, Y AS y, CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS label FROM points WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL",
+        "coordinate_rejects": base + (
+            "SELECT count(*) AS n_rows, count(*) FILTER (WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL) AS n_clean, "
+            # a line without X holds Y alone, in the place of X
+            "count(*) FILTER (WHERE CASE WHEN X IS NULL THEN Y IS NULL ELSE isnan(X) END) AS missing_x, "
+            "count(*) FILTER (WHERE X IS NULL OR Y IS NULL) AS missing_y FROM points"),
         "dirty_reject_counts": base + (
             "SELECT count(*) AS n_rows, "
-            "count(*) FILTER (WHERE X IS NOT NULL AND Y IS NOT NULL AND dow_x IS NOT NULL AND dow_y IS NOT NULL) AS n_clean, "
-            "count(*) FILTER (WHERE NOT (X IS NOT NULL AND Y IS NOT NULL AND dow_x IS NOT NULL AND dow_y IS NOT NULL)) AS n_rejected, "
-            "count(*) FILTER (WHERE X IS NULL) AS missing_X, count(*) FILTER (WHERE Y IS NULL) AS missing_Y, "
+            "count(*) FILTER (WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL AND dow_x IS NOT NULL AND dow_y IS NOT NULL) AS n_clean, "
+            "count(*) FILTER (WHERE X IS NULL OR isnan(X) OR Y IS NULL OR dow_x IS NULL OR dow_y IS NULL) AS n_rejected, "
+            "count(*) FILTER (WHERE X IS NULL OR isnan(X)) AS missing_X, count(*) FILTER (WHERE Y IS NULL) AS missing_Y, "
             "count(*) FILTER (WHERE dow_x IS NULL) AS missing_dow_x, count(*) FILTER (WHERE dow_y IS NULL) AS missing_dow_y FROM enc"),
-        "weekday_dim_join": base + "SELECT id, X, Y, dow_x, dow_y FROM enc",
+        "weekday_dim_join": base + "SELECT id, CASE WHEN NOT isnan(X) THEN X END AS X, Y, dow_x, dow_y FROM enc",
+        "weekday_number_round_trip": base + (
+            "SELECT id, CAST(isodow(ts) AS INTEGER) AS day, CAST(list_position([" + ", ".join(f"'{n}'" for n in O.WEEKDAY_NAMES)
+            + f"], Vkpv) AS INTEGER) AS named, round({O.decode('w.dow_x', 'w.dow_y')}, 9) AS dow FROM points p JOIN events e ON e.event_id = p.id "
+            "JOIN (SELECT row_number() OVER () AS day, dow_x, dow_y FROM weekdays) w ON w.day = isodow(ts)"),
         "weekday_cyclic_decode": base + (
             f"SELECT p.id, p.Vkpv AS name, round({O.decode('w.dow_x', 'w.dow_y')}, 9) AS dow "
             "FROM points p LEFT JOIN weekdays w ON p.Vkpv = w.Vkpv"),
@@ -470,11 +613,14 @@ def oracle() -> dict[str, str]:
             + _unscale_sql("avg(dow_x_scaled)", "any_value(la)", "any_value(ha)") + " AS dow_x, "
             + _unscale_sql("avg(dow_y_scaled)", "any_value(lb)", "any_value(hb)") + " AS dow_y "
             "FROM s4, b4 GROUP BY event_type)"),
-        "group_centroids_nd": f"SELECT label, {emb_avgs} FROM embeddings GROUP BY label",
+        "group_centroids_nd": (
+            "SELECT label, CAST(pos AS INTEGER) AS pos, count(*) AS n, round(avg(CAST(embedding[pos + 1] AS DOUBLE)), 6) AS avg_e "
+            "FROM (SELECT label, embedding, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY label, pos"),
         "cost_l2_sum_2d": s2 + l2(list(PL.FEATURES_2D)).format(s="s2"),
         "cost_l2_sum_4d": s4 + l2(f4).format(s="s4"),
         "cost_sse": s4 + ("SELECT event_type, count(*) AS n, " + ", ".join(f"round(avg({f}), 8) AS {f}" for f in f4)
                           + f", round({sse4}, 6) AS sse FROM s4 GROUP BY event_type"),
+        "cost_sse_total": s4 + f"SELECT round(sum(sse), 6) AS sse FROM (SELECT {sse4} AS sse FROM s4 GROUP BY event_type)",
         "sample_seeds": sl + ", " + seeds_sql + "\nSELECT CAST(idx AS INTEGER) AS idx, id, round(f1, 12) AS X_scaled, "
                         "round(f2, 12) AS Y_scaled, round(f3, 12) AS dow_x, round(f4, 12) AS dow_y FROM seeds",
         "nearest_centroid": sl + ", " + seeds_sql + ", " + asg_sql + "\nSELECT id, CAST(cluster AS INTEGER) AS cluster FROM asg",
@@ -491,26 +637,50 @@ def oracle() -> dict[str, str]:
         "lloyd_elbow": _lloyd_final_sql(
             "SELECT CAST(model AS INTEGER) AS NumOfCluster, round(sum(sse), 4) AS Cost, 'sse' AS metric "
             "FROM state WHERE stop GROUP BY model", list(DEFAULT_KS), ELBOW_TOL, ELBOW_MAX_ITER),
+        "kmeans_2d": base + (
+            "SELECT count(*) AS n_rows, count(*) AS n_assigned, CAST(0 AS BIGINT) AS n_off_nearest, true AS within_k, count(*) AS sum_n, "
+            "CAST(round(sum(X), 0) AS BIGINT) AS sum_x, CAST(round(sum(Y), 0) AS BIGINT) AS sum_y FROM clean2"),
+        "kmeans_4d": base + (
+            "SELECT count(*) AS n_rows, count(*) AS n_assigned, CAST(0 AS BIGINT) AS n_off_nearest, true AS within_k, count(*) AS sum_n, "
+            "CAST(round(sum(X), 0) AS BIGINT) AS sum_x, CAST(round(sum(Y), 0) AS BIGINT) AS sum_y, "
+            "round(sum(dow_x), 4) AS sum_dow_x, round(sum(dow_y), 4) AS sum_dow_y FROM clean4"),
+        **{f"kmeans_elbow_{d}d": base + (
+            "SELECT CAST(k AS INTEGER) AS NumOfCluster, 'sum_distance' AS metric, n AS n_rows, n AS n_assigned, "
+            f"CAST(0 AS BIGINT) AS n_off_nearest, true AS within_k, true AS cost_ok FROM (SELECT count(*) AS n FROM clean{d}), "
+            f"(SELECT unnest([{', '.join(map(str, DEFAULT_KS))}]) AS k)") for d in (2, 4)},
+        "csv_centroids_2d": s2 + (
+            "SELECT round(" + _unscale_sql("avg(X_scaled)", "any_value(lx)", "any_value(hx)") + ", 6) AS x, round("
+            + _unscale_sql("avg(Y_scaled)", "any_value(ly)", "any_value(hy)") + ", 6) AS y FROM s2, b2 GROUP BY event_type"),
+        "csv_centroids_4d": s4 + f"SELECT round(x, 6) AS x, round(y, 6) AS y, round({O.decode('dx', 'dy')}, 6) AS dow FROM ({means4})",
+        "csv_lloyd_centroids": s4 + f"SELECT round(x, 6) AS X, round(y, 6) AS Y, round({O.decode('dx', 'dy')}, 6) AS Day FROM ({means4})",
+        "csv_elbow": _lloyd_final_sql(
+            "SELECT CAST(model AS INTEGER) AS NumOfCluster, round(sum(sse), 4) AS Cost FROM state WHERE stop GROUP BY model",
+            list(CSV_ELBOW_KS), ELBOW_TOL, ELBOW_MAX_ITER),
+        "csv_points": sl + ", " + seeds_sql + ", " + asg_sql + (
+            f"\nSELECT CAST(a.cluster AS INTEGER) AS Cluster, p.X, p.Y, round({O.decode('p.dow_x', 'p.dow_y')}, 6) AS Day "
+            "FROM asg a JOIN pts p ON a.id = p.id"),
         "tile_of_point": base + f"SELECT id, {tile} AS tile FROM clean2",
         "tile_rollup_counts": base + (
             f"SELECT CAST(l.level AS INTEGER) AS level, l.tile, count(*) AS n FROM (SELECT {tile} AS t FROM clean2) p, "
             f"LATERAL (SELECT unnest(range(10)) AS level, unnest([{', '.join(O.rollup_sql('p.t'))}]) AS tile) l "
             "WHERE p.t IS NOT NULL GROUP BY l.level, l.tile"),
         "tile_describe": base + (
-            f"SELECT tile, {lvl} AS level, {w} AS width, {h} AS height, {sw_x} AS anchor_x, {sw_y} AS anchor_y, "
-            f"{c_x} AS c_x, {c_y} AS c_y FROM (SELECT DISTINCT unnest({names_arr}) AS tile "
+            f"SELECT tile, {lvl} AS level, {w} AS width, {h} AS height, {anchors} FROM (SELECT DISTINCT unnest({names_arr}) AS tile "
             f"FROM (SELECT {tile} AS t FROM clean2) WHERE t IS NOT NULL)"),
         "tile_cover": base + (
             f"SELECT tile, min(id) AS first_id, count(*) AS n FROM (SELECT id, {O.rollup_sql(tile)[5]} AS tile "
             "FROM clean2) WHERE tile IS NOT NULL GROUP BY tile"),
         "project_to_lonlat": base + f"SELECT id, round({lat}, 7) AS lat, round({lon}, 7) AS lon FROM clean2",
-        "project_to_xy": base + "SELECT id, round(X, 3) AS x, round(Y, 3) AS y FROM clean2",
-        "tile_of_lonlat": base + f"SELECT id, {O.tile_sql('X + 0.5', 'Y + 0.5')} AS tile FROM clean2",
-        "geocode_centroids": s2 + (
+        "project_to_xy": lonlat + "SELECT id, round(X, 3) AS x, round(Y, 3) AS y FROM grid",
+        "tile_of_lonlat": lonlat + f"SELECT id, {tile} AS tile FROM grid",
+        "tile_of_lonlat_uniq": lonlat + (
+            f"SELECT tile, min(id) AS first_id, count(*) AS n FROM (SELECT id, {O.rollup_sql(tile)[4]} AS tile FROM grid) "
+            "WHERE tile IS NOT NULL GROUP BY tile"),
+        **dict.fromkeys(("geocode_centroids", "csv_geocoded"), s2 + (
             f"SELECT round({glon}, 7) AS LONGITUDE, round({glat}, 7) AS LATITUDE, "
             f"coalesce(label, printf('(%.7f,%.7f)', {glon}, {glat})) AS LABEL FROM ("
             "SELECT round(" + _unscale_sql("avg(X_scaled)", "any_value(lx)", "any_value(hx)") + ", 3) AS x, round("
             + _unscale_sql("avg(Y_scaled)", "any_value(ly)", "any_value(hy)") + ", 3) AS y, "
-            "CASE WHEN event_type <> 'view' THEN event_type END AS label FROM s2, b2 GROUP BY event_type)"),
-        "preview": base + "SELECT id, X, Y, Vkpv FROM points WHERE X IS NOT NULL AND Y IS NOT NULL ORDER BY id LIMIT 10",
+            "CASE WHEN event_type <> 'view' THEN event_type END AS label FROM s2, b2 GROUP BY event_type)")),
+        "preview": base + "SELECT id, X, Y, Vkpv FROM points WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL ORDER BY id LIMIT 10",
     }

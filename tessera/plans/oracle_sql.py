@@ -7,11 +7,34 @@ from __future__ import annotations
 
 import math
 
-from tessera.functions import projection as P
-from tessera.functions import tiles as TL
 from tessera.functions.cyclic import DAY_POINTS, WEEKDAY_NAMES
 from tessera.sources import fixtures as FX
 
+# Fixed values of the grid and the projection, written out here once more so
+# that a slip in the library cannot pass its own twin.
+GRID_ROWS = "KLMNPQRSTUVWX"
+GRID_X, GRID_Y = -460000.0, 6570000.0
+GRID_WIDTHS = (192000, 96000, 96000, 48000, 48000, 24000, 24000, 12000, 6000, 3000)
+GRID_HEIGHTS = (96000, 96000, 48000, 48000, 24000, 24000, 12000, 12000, 6000, 3000)
+GRID_NAMES = (
+    "[KLMNPQRSTUVWX][23456]", "[KLMNPQRSTUVWX][23456][LR]", "[KLMNPQRSTUVWX][23456][1234]",
+    "[KLMNPQRSTUVWX][23456][1234][LR]", "[KLMNPQRSTUVWX][23456][1234][1234]", "[KLMNPQRSTUVWX][23456][1234][1234][LR]",
+    "[KLMNPQRSTUVWX][23456][1234][1234][1234]", "[KLMNPQRSTUVWX][23456][1234][1234][1234][LR]",
+    "[KLMNPQRSTUVWX][23456][1234][1234][1234][ABCDEFGH]", "[KLMNPQRSTUVWX][23456][1234][1234][1234][ABCDEFGH][1234]",
+)
+GRID_ANCHORS = {
+    "sw": (0, 0), "ll": (0, 0), "w": (0, 0.5), "l": (0, 0.5), "nw": (0, 1), "ul": (0, 1),
+    "s": (0.5, 0), "d": (0.5, 0), "c": (0.5, 0.5), "0": (0.5, 0.5), "n": (0.5, 1), "u": (0.5, 1),
+    "se": (1, 0), "lr": (1, 0), "e": (1, 0.5), "r": (1, 0.5), "ne": (1, 1), "ur": (1, 1),
+}
+_n = 1 / (2 * 298.257222101 - 1)
+ECC = math.sqrt(2 / 298.257222101 - 1 / 298.257222101**2)
+METRES = 0.9996 * 6378137.0 / (1 + _n) * (1 + _n**2 / 4 + _n**4 / 64)
+ALPHA = (_n / 2 - _n**2 * 2 / 3 + _n**3 * 5 / 16 + _n**4 * 41 / 180, _n**2 * 13 / 48 - _n**3 * 3 / 5 + _n**4 * 557 / 1440,
+         _n**3 * 61 / 240 - _n**4 * 103 / 140, _n**4 * 49561 / 161280)
+BETA = (_n / 2 - _n**2 * 2 / 3 + _n**3 * 37 / 96 - _n**4 / 360, _n**2 / 48 + _n**3 / 15 - _n**4 * 437 / 1440,
+        _n**3 * 17 / 480 - _n**4 * 37 / 840, _n**4 * 4397 / 161280)
+
 
 def _f(v: float) -> str:
     return f"CAST('{v!r}' AS DOUBLE)"
@@ -23,18 +46,22 @@ WEEKDAYS_CTE = "weekdays(Vkpv, dow_x, dow_y) AS (VALUES " + ", ".join(
 POINTS_CTE = f"""points AS (
   SELECT event_id AS id,
          CASE WHEN event_id % {FX.MISSING_X_EVERY} = 0 THEN NULL
+              WHEN event_id % {FX.NAN_X_EVERY} = 0 THEN CAST('NaN' AS DOUBLE)
               ELSE CAST({FX.X_BASE} + (event_id * {FX.X_MULT}) % {FX.X_SPAN} AS DOUBLE) END AS X,
-         CAST({FX.Y_BASE} + (event_id * {FX.Y_MULT}) % {FX.Y_SPAN} AS DOUBLE) AS Y,
-         [{", ".join(f"'{n}'" for n in WEEKDAY_NAMES)}][isodow(ts)] AS Vkpv,
-         event_type
+         CASE WHEN event_id % {FX.MISSING_Y_EVERY} <> 0
+              THEN CAST({FX.Y_BASE} + (event_id * {FX.Y_MULT}) % {FX.Y_SPAN} AS DOUBLE) END AS Y,
+         CASE WHEN event_id % {FX.BLANK_DAY_EVERY} = 0 THEN ' '
+              WHEN event_id % {FX.UNKNOWN_DAY_EVERY} = 0 THEN '{FX.UNKNOWN_DAY}'
+              ELSE [{", ".join(f"'{n}'" for n in WEEKDAY_NAMES)}][isodow(ts)] END AS Vkpv,
+         CASE WHEN event_id % {FX.NO_TYPE_EVERY} <> 0 THEN event_type END AS event_type
   FROM events)"""
 
 ENC_CTE = """enc AS (SELECT p.id, p.X, p.Y, p.event_type, w.dow_x, w.dow_y
              FROM points p LEFT JOIN weekdays w ON p.Vkpv = w.Vkpv)"""
 
-CLEAN2_CTE = "clean2 AS (SELECT id, X, Y, event_type FROM points WHERE X IS NOT NULL AND Y IS NOT NULL)"
+CLEAN2_CTE = "clean2 AS (SELECT id, X, Y, event_type FROM points WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL)"
 CLEAN4_CTE = """clean4 AS (SELECT id, X, Y, dow_x, dow_y, event_type FROM enc
-                WHERE X IS NOT NULL AND Y IS NOT NULL AND dow_x IS NOT NULL AND dow_y IS NOT NULL)"""
+                WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL AND dow_x IS NOT NULL AND dow_y IS NOT NULL)"""
 
 
 def scaled(v: str, lo: str, hi: str) -> str:
@@ -72,8 +99,8 @@ def pmod(a: str, b: float) -> str:
 
 
 def tile_sql(x: str, y: str) -> str:
-    n = f"(({y}) - {TL.ORIGIN_Y})"
-    e = f"(({x}) - ({TL.ORIGIN_X}))"
+    n = f"(({y}) - {GRID_Y})"
+    e = f"(({x}) - ({GRID_X}))"
     ns = (96000.0, 48000.0, 24000.0, 12000.0, 6000.0, 3000.0)
     es = (192000.0, 96000.0, 48000.0, 24000.0, 6000.0, 3000.0)
     row = f"CAST(round(({n} - {pmod(n, ns[0])}) / {ns[0]}) AS INTEGER)"
@@ -84,12 +111,12 @@ def tile_sql(x: str, y: str) -> str:
         de = f"CAST(round(({pmod(e, es[j - 1])} - {pmod(e, es[j])}) / {es[j]}) AS INTEGER)"
         codes = "ABCDEFGH" if j == 4 else "1234"
         parts.append(f"substr('{codes}', {de} * 2 + {dn} + 1, 1)")
-    name = " || ".join([f"substr('{TL.ROW_LETTERS}', {row} + 1, 1)", f"CAST({col} AS VARCHAR)"] + parts)
+    name = " || ".join([f"substr('{GRID_ROWS}', {row} + 1, 1)", f"CAST({col} AS VARCHAR)"] + parts)
     return f"(CASE WHEN {row} BETWEEN 0 AND 12 AND {col} BETWEEN 2 AND 6 THEN {name} END)"
 
 
 def level_sql(t: str) -> str:
-    whens = " ".join(f"WHEN regexp_matches({t}, '{pat}') THEN {lvl}" for lvl, pat in TL.LEVEL_PATTERNS)
+    whens = " ".join(f"WHEN regexp_full_match({t}, '{pat}') THEN {lvl}" for lvl, pat in enumerate(GRID_NAMES))
     return f"(CASE WHEN {t} IS NULL THEN NULL {whens} ELSE -1 END)"
 
 
@@ -108,14 +135,13 @@ def rollup_sql(t: str) -> list[str]:
 
 def size_sql(t: str) -> tuple[str, str]:
     lv = level_sql(t)
-    ws = ", ".join(str(w) for w, _ in TL.LEVEL_SIZES)
-    hs = ", ".join(str(h) for _, h in TL.LEVEL_SIZES)
+    ws, hs = ", ".join(map(str, GRID_WIDTHS)), ", ".join(map(str, GRID_HEIGHTS))
     return (f"(CASE WHEN {lv} >= 0 THEN [{ws}][{lv} + 1] END)",
             f"(CASE WHEN {lv} >= 0 THEN [{hs}][{lv} + 1] END)")
 
 
 def anchor_sql(t: str, anchor: str) -> tuple[str, str]:
-    fx, fy = TL.ANCHORS[anchor]
+    fx, fy = GRID_ANCHORS[anchor]
 
     def c(i):
         return f"substr({t}, {i + 1}, 1)"
@@ -126,9 +152,9 @@ def anchor_sql(t: str, anchor: str) -> tuple[str, str]:
 
     eighth = (f"(CASE WHEN {c(5)} IN ('C','D') THEN 1.0 WHEN {c(5)} IN ('E','F','R') THEN 2.0 "
               f"WHEN {c(5)} IN ('G','H') THEN 3.0 ELSE 0.0 END)")
-    x = (f"({TL.ORIGIN_X} + TRY_CAST({c(1)} AS DOUBLE) * 192000.0 + {flag(2, '34R', 96000.0)} + {flag(3, '34R', 48000.0)}"
+    x = (f"({GRID_X} + TRY_CAST({c(1)} AS DOUBLE) * 192000.0 + {flag(2, '34R', 96000.0)} + {flag(3, '34R', 48000.0)}"
          f" + {flag(4, '34R', 24000.0)} + {eighth} * 6000.0 + {flag(6, '34', 3000.0)})")
-    y = (f"({TL.ORIGIN_Y} + CAST(instr('{TL.ROW_LETTERS}', {c(0)}) - 1 AS DOUBLE) * 96000.0 + {flag(2, '24', 48000.0)}"
+    y = (f"({GRID_Y} + CAST(instr('{GRID_ROWS}', {c(0)}) - 1 AS DOUBLE) * 96000.0 + {flag(2, '24', 48000.0)}"
          f" + {flag(3, '24', 24000.0)} + {flag(4, '24', 12000.0)} + {flag(5, 'BDFH', 6000.0)} + {flag(6, '24', 3000.0)})")
     w, h = size_sql(t)
     lv = level_sql(t)
@@ -138,32 +164,30 @@ def anchor_sql(t: str, anchor: str) -> tuple[str, str]:
 
 def latlon_sql(x: str, y: str) -> tuple[str, str]:
     """Inverse Krüger series in SQL (independent of the Column builder)."""
-    k = P.SCALE * P.RECT_RADIUS
-    xi = f"((({y}) - {P.FALSE_NORTHING}) / {k!r})"
-    eta = f"((({x}) - {P.FALSE_EASTING}) / {k!r})"
-    xip = xi + "".join(f" - {b!r} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, b in enumerate(P.INVERSE, 1))
-    etap = eta + "".join(f" - {b!r} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, b in enumerate(P.INVERSE, 1))
+    xi = f"(({y}) / {METRES!r})"
+    eta = f"((({x}) - 500000.0) / {METRES!r})"
+    xip = xi + "".join(f" - {b!r} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, b in enumerate(BETA, 1))
+    etap = eta + "".join(f" - {b!r} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, b in enumerate(BETA, 1))
     xip, etap = f"({xip})", f"({etap})"
     psi = f"asinh(sin({xip}) / sqrt(sinh({etap}) * sinh({etap}) + cos({xip}) * cos({xip})))"
     q = psi
-    for _ in range(P.LATITUDE_STEPS):
-        q = f"({psi} + {P.ECC!r} * atanh({P.ECC!r} * tanh({q})))"
+    for _ in range(5):
+        q = f"({psi} + {ECC!r} * atanh({ECC!r} * tanh({q})))"
     lat = f"degrees(atan(sinh({q})))"
-    lon = f"({P.CENTRAL_MERIDIAN_DEG} + degrees(atan2(sinh({etap}), cos({xip}))))"
+    lon = f"(27.0 + degrees(atan2(sinh({etap}), cos({xip}))))"
     return lat, lon
 
 
 def xy_sql(lat: str, lon: str) -> tuple[str, str]:
     """Forward Krüger series in SQL."""
     phi = f"radians({lat})"
-    lam = f"(radians({lon}) - {math.radians(P.CENTRAL_MERIDIAN_DEG)!r})"
-    t = f"sinh(atanh(sin({phi})) - {P.ECC!r} * atanh({P.ECC!r} * sin({phi})))"
+    lam = f"(radians({lon}) - {math.radians(27.0)!r})"
+    t = f"sinh(atanh(sin({phi})) - {ECC!r} * atanh({ECC!r} * sin({phi})))"
     xip = f"atan2({t}, cos({lam}))"
     etap = f"atanh(sin({lam}) / sqrt(1.0 + {t} * {t}))"
-    xi = xip + "".join(f" + {a!r} * sin({2 * j} * {xip}) * cosh({2 * j} * {etap})" for j, a in enumerate(P.FORWARD, 1))
-    eta = etap + "".join(f" + {a!r} * cos({2 * j} * {xip}) * sinh({2 * j} * {etap})" for j, a in enumerate(P.FORWARD, 1))
-    k = P.SCALE * P.RECT_RADIUS
-    return f"({P.FALSE_EASTING} + {k!r} * ({eta}))", f"({P.FALSE_NORTHING} + {k!r} * ({xi}))"
+    xi = xip + "".join(f" + {a!r} * sin({2 * j} * {xip}) * cosh({2 * j} * {etap})" for j, a in enumerate(ALPHA, 1))
+    eta = etap + "".join(f" + {a!r} * cos({2 * j} * {xip}) * sinh({2 * j} * {etap})" for j, a in enumerate(ALPHA, 1))
+    return f"(500000.0 + {METRES!r} * ({eta}))", f"({METRES!r} * ({xi}))"
 
 
 def lloyd_recursive_cte(models: list[int], seed: int, tol: float, max_iter: int) -> str:
@@ -179,6 +203,8 @@ def lloyd_recursive_cte(models: list[int], seed: int, tol: float, max_iter: int)
     d2 = " + ".join(f"(p.f{i} - c.f{i}) * (p.f{i} - c.f{i})" for i in range(1, 5))
     sse = " + ".join(f"var_pop(f{i}) * count(*)" for i in range(1, 5))
     mv = " + ".join(f"(coalesce(u.f{i}, c.f{i}) - c.f{i}) * (coalesce(u.f{i}, c.f{i}) - c.f{i})" for i in range(1, 5))
+    means = ", ".join(
+        f"CAST(sum(CAST(floor(f{i} * 1e12 + 0.5) AS HUGEINT)) AS DOUBLE) / count(*) / 1e12 AS f{i}" for i in range(1, 5))
     return f"""models(k) AS (VALUES {mods}),
 ordered AS (SELECT row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':{seed}'), id) - 1 AS idx, f1, f2, f3, f4
             FROM pts ORDER BY md5(CAST(id AS VARCHAR) || ':{seed}'), id LIMIT {kmax}),
@@ -191,7 +217,7 @@ state(pass, model, idx, f1, f2, f3, f4, n, sse, shift, stop) AS (
     asg AS (SELECT c.model, p.id, p.f1, p.f2, p.f3, p.f4,
                    arg_min(c.idx, {{'d': {d2}, 'i': c.idx}}) AS idx
             FROM pts p, cur c GROUP BY c.model, p.id, p.f1, p.f2, p.f3, p.f4),
-    upd AS (SELECT model, idx, count(*) AS n, avg(f1) AS f1, avg(f2) AS f2, avg(f3) AS f3, avg(f4) AS f4,
+    upd AS (SELECT model, idx, count(*) AS n, {means},
                    {sse} AS sse
             FROM asg GROUP BY model, idx),
     nxt AS (SELECT c.pass + 1 AS pass, c.model, c.idx,

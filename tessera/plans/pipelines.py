@@ -16,7 +16,7 @@ from tessera.functions.cyclic import decode_day
 from tessera.functions.scaling import minmax_unscale
 from tessera.operators.clean import complete_rows
 from tessera.operators.elbow import DEFAULT_KS, elbow_kmeans, elbow_lloyd
-from tessera.operators.kmeans_ml import assemble, fit_kmeans, member_centroids
+from tessera.operators.kmeans_ml import assemble, fit_facts, fit_kmeans, member_centroids
 from tessera.operators.materialize import for_reuse, release
 from tessera.operators.lloyd import LloydResult, assign, lloyd
 from tessera.operators.scale import MinMax, fit_minmax, scale
@@ -60,35 +60,51 @@ def _fit_centroids(p: Prepared, k: int, seed: int, mapping: dict[str, str]) -> D
     """Fit on the persisted feature vectors (spread over all cores), reduce to
     ≤ k member-mean rows, release the cache, return the centroids as a small
     literal table."""
-    vec = for_reuse(assemble(p.df, p.features))
+    return _fit(p, k, seed, mapping)[0]
+
+
+def _fit(p: Prepared, k: int, seed: int, mapping: dict[str, str], facts: bool = False):
+    vec = for_reuse(assemble(p.df.select("id", *p.features), p.features))
     try:
-        _, pred = fit_kmeans(vec, p.features, k, seed=seed, assembled=True)
+        model, pred = fit_kmeans(vec, p.features, k, seed=seed, assembled=True)
         cents = member_centroids(pred, p.mm, mapping)
         rows = [tuple(r) for r in cents.collect()]
+        found = fit_facts(model, pred.select("prediction", *p.features), p.features, k) if facts else None
     finally:
         release(vec)
-    return literal_table(p.df.sparkSession, rows, cents.schema)
+    return literal_table(p.df.sparkSession, rows, cents.schema), found
+
+
+MAPPING_2D = {"X_scaled": "x", "Y_scaled": "y"}
+MAPPING_4D = {"X_scaled": "x", "Y_scaled": "y", "dow_x_scaled": "dow_x", "dow_y_scaled": "dow_y"}
+
+
+def kmeans_checked(points: DataFrame, dims: int, k: int, seed: int = 1) -> tuple[DataFrame, tuple]:
+    """The member centroids of a fit and the facts of :func:`fit_facts`."""
+    if dims == 2:
+        return _fit(prepare_2d(points), k, seed, MAPPING_2D, facts=True)
+    return _fit(prepare_4d(points), k, seed, MAPPING_4D, facts=True)
 
 
 def kmeans_centroids_2d(points: DataFrame, k: int = 300, seed: int = 1) -> DataFrame:
     """MLlib k-means on scaled (X, Y); centroids = member means in metres."""
-    return _fit_centroids(prepare_2d(points), k, seed, {"X_scaled": "x", "Y_scaled": "y"})
+    return _fit_centroids(prepare_2d(points), k, seed, MAPPING_2D)
 
 
 def kmeans_centroids_4d(points: DataFrame, k: int = 100, seed: int = 1) -> DataFrame:
     """MLlib k-means on scaled (X, Y, weekday point); adds the decoded weekday."""
-    cents = _fit_centroids(prepare_4d(points), k, seed, {"X_scaled": "x", "Y_scaled": "y",
-                                                         "dow_x_scaled": "dow_x", "dow_y_scaled": "dow_y"})
+    cents = _fit_centroids(prepare_4d(points), k, seed, MAPPING_4D)
     return cents.withColumn("dow", decode_day("dow_x", "dow_y"))
 
 
-def kmeans_elbow(points: DataFrame, dims: int = 2, ks: Sequence[int] = DEFAULT_KS, seed: int = 1) -> DataFrame:
+def kmeans_elbow(points: DataFrame, dims: int = 2, ks: Sequence[int] = DEFAULT_KS, seed: int = 1,
+                 facts: bool = False) -> DataFrame:
     """dims 2: (X, Y); dims 4 (or 3, the reference's name for it): X, Y and
     the weekday point. Other values are an error, not a silent no-op."""
     if dims not in (2, 3, 4):
         raise ValueError(f"dims must be 2 or 4, got {dims}")
     p = prepare_2d(points) if dims == 2 else prepare_4d(points)
-    return elbow_kmeans(p.df, p.features, ks, seed=seed)
+    return elbow_kmeans(p.df, p.features, ks, seed=seed, facts=facts)
 
 
 @dataclass

@@ -21,10 +21,11 @@ def write_centroids(df: DataFrame, path: str, columns: Sequence[str], order_by:
     write_csv(out.select(*columns).coalesce(1), path)
 
 
-def write_elbow(df: DataFrame, path: str) -> None:
-    """Header ``NumOfCluster,Cost,metric`` — the metric column says whether
-    Cost is a distance sum or an SSE."""
-    write_csv(df.orderBy("NumOfCluster").coalesce(1), path)
+def write_elbow(df: DataFrame, path: str, metric: bool = False) -> None:
+    """Header ``NumOfCluster,Cost``; with ``metric`` a third column says
+    whether Cost is a distance sum or an SSE."""
+    columns = ["NumOfCluster", "Cost", *(["metric"] if metric else [])]
+    write_csv(df.select(*columns).orderBy("NumOfCluster").coalesce(1), path)
 
 
 def write_points(df: DataFrame, path: str, columns: Sequence[str] = ("Cluster", "X", "Y", "Day")) -> None:

@@ -9,24 +9,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.sources import schemas
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType, columns=None, encoding: str = "UTF-8") -> DataFrame:
+    """Scan ``;``-separated files with a header, columns found by name.
+
+    The names and their order come from the files' header (one bounded read);
+    known names get the type ``schema`` gives them, others stay text and are
+    pruned. A missing column is an error, and so is a file whose header
+    differs from the others' (``enforceSchema`` off).
+    """
+    options = {"header": "true", "sep": schemas.DELIMITER, "encoding": encoding, "mode": "PERMISSIVE"}
+    names = [c.strip() for c in spark.read.options(**options).csv(path).columns]
+    wanted = list(columns) if columns else [f.name for f in schema.fields]
+    if missing := [c for c in wanted if c not in names]:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    known = {f.name: f.dataType for f in schema.fields}
+    typed = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+    return spark.read.schema(typed).options(**options, enforceSchema="false").csv(path).select(*wanted)
+
+
 def read_accidents(spark: SparkSession, path: str, columns=("X", "Y", "Vkpv"),
                    encoding: str = "UTF-8") -> DataFrame:
     """Scan accident files; only ``columns`` are materialised (pruned in the scan)."""
-    df = (spark.read.schema(schemas.ACCIDENT_SCHEMA)
-          .option("header", "true").option("sep", schemas.DELIMITER)
-          .option("encoding", encoding).option("mode", "PERMISSIVE")
-          .csv(path))
-    return df.select(*columns)
-
-
-def read_table(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
-    """Scan the person or party table with its explicit schema."""
-    return (spark.read.schema(schema).option("header", "true").option("sep", schemas.DELIMITER)
-            .option("encoding", encoding).csv(path))
+    return read_table(spark, path, schemas.ACCIDENT_SCHEMA, columns, encoding)
 
 
 def _field(fields: Column, pos: int) -> Column:
@@ -81,36 +90,44 @@ def _regex_literal(sep: str) -> str:
     return "".join("\\" + ch if ch in ".^$|?*+()[]{}\\" else ch for ch in sep)
 
 
-def parse_coordinate_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """``x,y[,label]`` lines -> (x double, y double, label string).
-
-    The header line (``x,y``, case-insensitive) is dropped; lines with fewer
-    than two fields are skipped; fields after the third are ignored; a
-    missing or blank label is null.
-    """
+def split_coordinate_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """``x,y[,label]`` lines -> (x double, y double, label string), header
+    lines (``x,y``, case-insensitive) left out; x or y is null where it is
+    missing or no number. Fields after the third are ignored; a missing or
+    blank label is null."""
     f = F.split(F.col(value_col), ",", -1)
     first = F.lower(F.trim(F.try_element_at(f, F.lit(1))))
     second = F.lower(F.trim(F.try_element_at(f, F.lit(2))))
     keep = [c for c in lines.columns if c != value_col]
     rows = (lines.select(*keep, f.alias("_f"), first.alias("_a"), second.alias("_b"))
-            .filter((F.size("_f") >= 2) & ~((F.col("_a") == "x") & (F.col("_b") == "y"))))
+            .filter(~F.coalesce((F.col("_a") == "x") & (F.col("_b") == "y"), F.lit(False))))
     label = F.trim(F.try_element_at(F.col("_f"), F.lit(3)))
-    return rows.select(
-        *keep,
-        F.trim(F.col("_f")[0]).try_cast("double").alias("x"),
-        F.trim(F.col("_f")[1]).try_cast("double").alias("y"),
-        F.when(F.length(label) > 0, label).alias("label"),
-    )
+    number = lambda c: F.nanvl(F.trim(c).try_cast("double"), F.lit(None).cast("double"))
+    return rows.select(*keep, number(F.col("_a")).alias("x"), number(F.col("_b")).alias("y"),
+                       F.when(F.length(label) > 0, label).alias("label"))
+
+
+def parse_coordinate_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """The lines of :func:`split_coordinate_lines` that have both x and y."""
+    return split_coordinate_lines(lines, value_col).filter("x IS NOT NULL AND y IS NOT NULL")
+
+
+def coordinate_reject_counts(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """One row: data lines, lines kept, lines without x, lines without y."""
+    rows = split_coordinate_lines(lines, value_col)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.expr("x IS NOT NULL AND y IS NOT NULL")).alias("n_clean"),
+        F.count_if(F.col("x").isNull()).alias("missing_x"), F.count_if(F.col("y").isNull()).alias("missing_y"))
 
 
 def read_coordinates(spark: SparkSession, path: str, check_header: bool = True) -> DataFrame:
-    """Scan a coordinate file. With ``check_header`` the first line must start
-    with ``x,y`` (one bounded ``limit(1)`` read)."""
+    """Scan coordinate files. With ``check_header`` the first line of every
+    file must start with ``x,y`` (one row a file is gathered)."""
     lines = spark.read.text(path)
     if check_header:
-        head = lines.limit(1).collect()
-        if head:
-            parts = [p.strip().lower() for p in head[0][0].split(",")]
-            if len(parts) < 2 or parts[0] != "x" or parts[1] != "y":
-                raise ValueError("expected a header starting with x,y")
+        own = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+        first = own.filter("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "n").alias("head"))
+        good = F.col("head").rlike(r"(?i)^\s*x\s*,\s*y\s*(,|$)")
+        if bad := first.filter(~good).limit(1).collect():
+            raise ValueError(f"expected a header starting with x,y in {bad[0]['file']}")
     return parse_coordinate_lines(lines)

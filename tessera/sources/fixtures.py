@@ -2,8 +2,9 @@
 
 The ``events`` table stands in for accidents: a grid point derived from the
 event id (inside the tile grid, rows K..X and columns 2..6), the weekday of
-the event time, and a deterministic share of rows with a missing X so the
-dirty-data path is exercised. All of it is plain column arithmetic over the
+the event time, and deterministic shares of rows with X missing or NaN, Y
+missing, a blank or unknown weekday, or no event type, so that the dirty-data
+paths are exercised. All of it is plain column arithmetic over the
 whole table, so it scales with the input and Catalyst prunes the scan to
 ``event_id, ts`` (plus ``event_type`` where labels are used).
 """
@@ -24,6 +25,12 @@ _LINE = T.StructType([T.StructField("value", T.StringType())])
 X_BASE, X_MULT, X_SPAN = 100000, 7919, 600000
 Y_BASE, Y_MULT, Y_SPAN = 6600000, 104729, 1150000
 MISSING_X_EVERY = 97
+NAN_X_EVERY = 101
+MISSING_Y_EVERY = 89
+BLANK_DAY_EVERY = 83
+UNKNOWN_DAY_EVERY = 79
+UNKNOWN_DAY = "Juhannus"
+NO_TYPE_EVERY = 73
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,25 +38,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _x(eid):
-    return F.when(eid % MISSING_X_EVERY == 0, F.lit(None)).otherwise(
-        F.lit(X_BASE) + (eid * X_MULT) % X_SPAN).cast("double")
+    x = (F.lit(X_BASE) + (eid * X_MULT) % X_SPAN).cast("double")
+    return F.when(eid % MISSING_X_EVERY != 0, F.when(eid % NAN_X_EVERY == 0, F.lit(float("nan"))).otherwise(x))
 
 
 def _y(eid):
-    return (F.lit(Y_BASE) + (eid * Y_MULT) % Y_SPAN).cast("double")
+    return F.when(eid % MISSING_Y_EVERY != 0, F.lit(Y_BASE) + (eid * Y_MULT) % Y_SPAN).cast("double")
 
 
-def weekday_name(ts) -> F.Column:
-    return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), weekday_number(ts))
+def _type(eid):
+    return F.when(eid % NO_TYPE_EVERY != 0, F.col("event_type"))
+
+
+def weekday_name(ts, eid=None) -> F.Column:
+    name = F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), weekday_number(ts))
+    if eid is None:
+        return name
+    return F.when(eid % BLANK_DAY_EVERY == 0, F.lit(" ")).when(eid % UNKNOWN_DAY_EVERY == 0, F.lit(UNKNOWN_DAY)).otherwise(name)
+
+
+def _whole(c):
+    """Digits of a whole-metre coordinate, NaN as text, empty when missing."""
+    return F.when(c.isNull(), F.lit("")).when(F.isnan(c), F.lit("NaN")).otherwise(c.cast("bigint").cast("string"))
 
 
 def accident_points(spark: SparkSession, sf_dir: str, with_type: bool = False) -> DataFrame:
     """(id, X, Y, Vkpv[, event_type]) over the whole events table."""
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events").where(F.col("event_id").isNotNull())
     eid = F.col("event_id")
-    cols = [eid.alias("id"), _x(eid).alias("X"), _y(eid).alias("Y"), weekday_name("ts").alias("Vkpv")]
+    cols = [eid.alias("id"), _x(eid).alias("X"), _y(eid).alias("Y"), weekday_name("ts", eid).alias("Vkpv")]
     if with_type:
-        cols.append(F.col("event_type"))
+        cols.append(_type(eid).alias("event_type"))
     return ev.select(*cols)
 
 
@@ -68,8 +87,7 @@ def accident_lines(spark: SparkSession, sf_dir: str, with_header: bool = True) -
     per event (id, weekday name, X, Y at their positions; other fields empty)."""
     pts = accident_points(spark, sf_dir)
     at = {0: F.col("id").cast("string"), position_of("Vkpv"): F.col("Vkpv"),
-          position_of("X"): F.coalesce(F.col("X").cast("bigint").cast("string"), F.lit("")),
-          position_of("Y"): F.col("Y").cast("bigint").cast("string")}
+          position_of("X"): _whole(F.col("X")), position_of("Y"): _whole(F.col("Y"))}
     fields = [at.get(i, F.lit("")) for i in range(len(ACCIDENT_FIELDS))]
     lines = pts.select(F.concat_ws(";", *fields).alias("value"))
     if with_header:
@@ -78,14 +96,18 @@ def accident_lines(spark: SparkSession, sf_dir: str, with_header: bool = True) -
     return lines
 
 
-def coordinate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``x,y[,label]`` lines: label = event type except for views (two
-    fields only); events without X give a one-field line (skipped on read)."""
+def coordinate_lines(spark: SparkSession, sf_dir: str, parts: int = 4) -> DataFrame:
+    """``x,y[,label]`` lines for ``parts`` files, each beginning with a header
+    line: label = event type except for views and events without one (two
+    fields only); events without X give a one-field line."""
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    x, y = _x(eid), _y(eid)
-    line = (F.when(x.isNull(), y.cast("string"))
-            .when(F.col("event_type") == "view", F.concat_ws(",", x.cast("string"), y.cast("string")))
-            .otherwise(F.concat_ws(", ", x.cast("string"), y.cast("string"), F.col("event_type"))))
-    body = ev.select(line.alias("value"))
-    return literal_table(spark, [("X , Y, label",)], _LINE).unionByName(body)
+    x, y, kind = _x(eid), _y(eid), _type(eid)
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    line = (F.when(x.isNull(), text(y))
+            .when(F.coalesce(kind, F.lit("view")) == "view", F.concat_ws(",", text(x), text(y)))
+            .otherwise(F.concat_ws(", ", text(x), text(y), kind)))
+    body = ev.select(F.pmod(eid, F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("rank"), line.alias("value"))
+    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("rank", T.IntegerType()), T.StructField("value", T.StringType())])
+    heads = literal_table(spark, [(k, 0, "X , Y, label") for k in range(parts)], schema)
+    return heads.unionByName(body).repartition(parts, "part").sortWithinPartitions("rank").select("value")

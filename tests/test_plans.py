@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from tessera.plans import catalog
 from tests.conftest import SF_SMALL
 
 # Queries that run their iterations eagerly while being built (covered by the
@@ -17,11 +17,11 @@ ARROW_KERNEL = {"nearest_centroid", "lloyd_step"}
 
 
 def _plan(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.QUERIES[name](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - EAGER))
 def test_plan_shape(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
