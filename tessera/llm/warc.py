@@ -186,14 +186,13 @@ def captures(pages: DataFrame) -> DataFrame:
     return joined.withColumn("refers_to", F.expr("IF(first IS NOT NULL AND NOT page_id <=> first, first, NULL)")).drop("first")
 
 
-@F.pandas_udf("string")
-def _sort_key(urls: pd.Series, ids: pd.Series) -> pd.Series:
-    return pd.Series([line_key(url_key(u), None if i is None else int(i)) for u, i in zip(urls, ids)], dtype=object)
-
-
 def sort_key(url: str, page_id: str):
+    @F.pandas_udf("string")
+    def key(urls: pd.Series, ids: pd.Series) -> pd.Series:
+        return pd.Series([line_key(url_key(u), None if i is None else int(i)) for u, i in zip(urls, ids)], dtype=object)
+
     # as text, ids pass pandas unchanged beside nulls
-    return _sort_key(F.col(url), F.col(page_id).cast("long").cast("string"))
+    return key(F.col(url), F.col(page_id).cast("long").cast("string"))
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
