@@ -242,3 +242,40 @@ def test_kernel_runs_without_the_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert out.returncode == 0, out.stderr
     assert out.stdout.strip() == "[1, 0]"
+
+
+def test_means_join_without_a_broadcast(spark, monkeypatch):
+    """Beyond the byte check the join is salted; a null group is a group."""
+    from tessera.operators import cost
+
+    rows = [(1, "a", 0.0), (2, "a", 2.0), (3, None, 5.0), (4, None, 9.0), (5, "b", 1.0)]
+    df = spark.createDataFrame(rows, "id long, g string, f double")
+    assert cost.sum_distance_to_mean(df, ["f"], "g").first()["cost"] == 6.0
+    monkeypatch.setattr(cost, "BROADCAST_BYTES", 0)
+    assert cost.sum_distance_to_mean(df, ["f"], "g").first()["cost"] == 6.0
+
+
+def test_seeds_cross_few_rows_from_many_tasks(spark):
+    from tessera.operators.lloyd import seed_centroids
+
+    df = spark.range(0, 100_000, 1, 400).selectExpr("id", "cast(id as double) f")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    found = seed_centroids(df, ["f"], 302)
+    assert len(set(found)) == 302 and spark.conf.get("spark.sql.shuffle.partitions") == old
+
+
+def test_sweep_in_batches_gives_the_same_curve(spark, monkeypatch):
+    from tessera.operators import lloyd as L
+
+    df = spark.range(500).selectExpr("id", "cast((id * 37) % 101 as double) / 101 a", "cast((id * 53) % 97 as double) / 97 b")
+    whole = L.lloyd_sweep(df, ["a", "b"], [2, 5, 9], tol=0.01, max_iter=10)
+    monkeypatch.setattr(L, "CENTROID_VALUE_LIMIT", 20)
+    assert L._batches([2, 5, 9], 2) == [[2, 5], [9]]
+    assert L.lloyd_sweep(df, ["a", "b"], [2, 5, 9], tol=0.01, max_iter=10) == whole
+
+
+def test_tile_names_end_where_the_text_ends(spark):
+    from tessera.functions.tiles import tile_level
+
+    df = spark.createDataFrame([("L4113H3",), ("L4113H3\n",)], "t string")
+    assert [r.n for r in df.select(tile_level("t").alias("n")).collect()] == [9, -1]

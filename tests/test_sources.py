@@ -67,3 +67,28 @@ def test_weekday_table_and_sinks(spark, tmp_path):
     write_elbow(el, str(tmp_path / "e"))
     got = spark.read.option("header", "true").csv(str(tmp_path / "e")).collect()
     assert [r.NumOfCluster for r in got] == ["2", "12"]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    from tessera.sources.delimited import read_accidents
+
+    p = tmp_path / "swapped.csv"
+    p.write_text("Vkpv;Y;other;X\nMaanantai;6700000;z;400000\n")
+    assert [tuple(r) for r in read_accidents(spark, str(p)).collect()] == [(400000.0, 6700000.0, "Maanantai")]
+    q = tmp_path / "lacking.csv"
+    q.write_text("Vkpv;Y\nMaanantai;6700000\n")
+    with pytest.raises(ValueError, match="no column X"):
+        read_accidents(spark, str(q))
+
+
+def test_every_coordinate_file_needs_its_header(spark, tmp_path):
+    from tessera.sources.delimited import read_coordinates
+
+    d = tmp_path / "many"
+    d.mkdir()
+    (d / "part-0.csv").write_text("X, y\n1,2\nabc,3\n,\n4,NaN\n")
+    (d / "part-1.csv").write_text("x,y,label\n" + "5,6,seven\n" * 50)
+    assert read_coordinates(spark, str(d)).count() == 51
+    (d / "part-2.csv").write_text("8,9\n" * 500)
+    with pytest.raises(ValueError, match="part-2"):
+        read_coordinates(spark, str(d))
