@@ -8,9 +8,12 @@ Shingles are ordered by their count over all documents, documents meet
 windows on that one shingle, the match's place and the lengths bound where
 the window would lie, and the words there are compared exactly.
 
-DataFrame functions only. Windows are joined in blocks of at most
-``BLOCK`` so that what is broadcast is bounded; a larger benchmark takes
-more passes over the documents. Texts are never shuffled.
+DataFrame functions only. The documents are cut into words once: that pass
+keeps every place that holds a shingle of some window, and each document's
+length. Counts, prefixes and candidates come from there, and only candidate
+documents are read again for the comparison. Shingles are joined in blocks of
+at most ``BLOCK`` so that what is broadcast is bounded; a larger benchmark
+takes more passes over the documents.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A first
 match on wholly lower-cased words is looser than that and is then confirmed.
@@ -32,14 +35,18 @@ from tessera.session import Scratch
 
 WINDOW = 10
 BLOCK = 100_000
-KEYS = 1_000_000
+KEYS, CANDIDATES = 1_000_000, 500_000  # rows of some 16 bytes that may be broadcast
+STOP, END = "\0", 0  # no word is STOP; END is its token
 # A-Z are still upper case here, so they are left out of the separators
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OTHERS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _words(text: str):
-    return F.coalesce(F.expr(f"regexp_extract_all({text}, r'{WORD}', 0)"), F.array().cast("array<string>"))
+    """Replacing a pattern and splitting at spaces takes half the time of
+    extracting words."""
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), F.lit(OTHERS), F.lit(" "))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _plain(words):
@@ -62,68 +69,87 @@ def windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def window_tokens(wins: DataFrame) -> DataFrame:
-    """(win, len, body, off, token): every shingle of every window."""
+    """(win, len, off, token): every shingle of every window."""
     split = wins.withColumn("words", F.split("body", " "))
-    off = split.select("win", "len", "body", "words", F.explode(F.expr("sequence(0, greatest(len - 2, 0))")).alias("off"))
-    return off.select("win", "len", "body", "off", _token("words[off]", "get(words, off + 1)").alias("token"))
-
-
-def document_tokens(docs: DataFrame, singles: bool, *keep: str) -> DataFrame:
-    """Every place of every document with its shingle; with one-word windows
-    about, also with its word alone."""
-    at = docs.select(*keep, _words("text").alias("words")).select(*keep, "words", F.posexplode("words").alias("pos", "word"))
-    pairs = at.withColumn("token", _token("word", "get(words, pos + 1)"))
+    off = split.select("win", "len", "words", F.explode(F.expr("sequence(0, greatest(len - 2, 0))")).alias("off"))
+    return off.select("win", "len", "off", _token("words[off]", "get(words, off + 1)").alias("token"))
+
+
+def document_tokens(docs: DataFrame, singles: bool) -> DataFrame:
+    """(doc_id, key, pos, token): every place of every document with its
+    shingle; with one-word windows about, also with its word alone. A last
+    place, after the words, has the token END."""
+    held = docs.select("doc_id", row_key().alias("key"), F.concat(_words("text"), F.array(F.lit(STOP))).alias("words"))
+    at = held.select("doc_id", "key", "words", F.posexplode("words").alias("pos", "word"))
+    stop = F.col("word") == STOP
+    pairs = at.select("doc_id", "key", "pos", F.when(stop, F.lit(END)).otherwise(_token("word", "get(words, pos + 1)")).alias("token"))
     if not singles:
         return pairs
-    return pairs.where("pos + 1 < size(words)").unionByName(at.withColumn("token", F.expr("xxhash64(lower(word), lower(CAST(NULL AS STRING)))")))
+    alone = at.where(~stop).select("doc_id", "key", "pos", F.expr("xxhash64(lower(word), lower(CAST(NULL AS STRING)))").alias("token"))
+    return pairs.unionByName(alone)
 
 
-def prefixes(docs: DataFrame, tokens: DataFrame, singles: bool, blocks: int) -> DataFrame:
-    """One row a window: its rarest shingle over all documents."""
-    counts = None
+def places(docs: DataFrame, tokens: DataFrame, singles: bool, blocks: int) -> DataFrame:
+    """The places of ``document_tokens`` that hold a token of a window or END."""
+    found = None
     for k in range(blocks):
-        part = tokens.select("token").distinct().where(F.expr(f"pmod(token, {blocks}) = {k}"))
-        found = document_tokens(docs, singles).select("token").join(F.broadcast(part), "token").groupBy("token").agg(F.count("*").alias("times"))
-        counts = found if counts is None else counts.unionByName(found)
-    ranked = tokens.join(counts, "token", "left").withColumn("times", F.coalesce("times", F.lit(0)))
+        part = tokens.select("token").where(F.expr(f"pmod(token, {blocks}) = {k}")).distinct()
+        if k == 0:  # with the first block come the lengths
+            part = part.unionByName(part.sparkSession.range(1).select(F.lit(END).cast("long").alias("token")))
+        met = document_tokens(docs, singles).join(F.broadcast(part), "token", "left_semi")
+        met = met.select(F.when(F.col("token") == END, F.col("doc_id")).alias("doc_id"), "key", "pos", "token")
+        found = met if found is None else found.unionByName(met)
+    return found
+
+
+def prefixes(tokens: DataFrame, met: DataFrame) -> DataFrame:
+    """(win, len, off, token), one row a window: its rarest shingle over all
+    documents."""
+    counts = met.where(F.col("token") != END).groupBy("token").agg(F.count("*").alias("times"))
     # a window with a shingle that no document has cannot occur
-    rarest = F.min_by(F.struct("len", "body", "off", "token", "times"), F.struct("times", "token", "off"))
+    ranked = tokens.join(counts, "token", "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    rarest = F.min_by(F.struct("len", "off", "token", "times"), F.struct("times", "token", "off"))
     return ranked.groupBy("win").agg(rarest.alias("p")).select("win", "p.*").where("times > 0").drop("times")
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, key, start, len, win) of every occurrence of a window, and the
-    items of the windows."""
+def occurrences(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(key, start, len, win) of every occurrence of a window, the items of
+    the windows, and (doc_id, key, n_words) of every document row."""
     wins, items = windows(benchmark)
-    tokens, items = scratch.write(window_tokens(wins), "window-tokens"), scratch.write(items, "window-items")
+    wins, items = scratch.write(wins, "windows"), scratch.write(items, "window-items")
+    tokens = scratch.write(window_tokens(wins), "window-tokens")
     singles = not tokens.where("len = 1").isEmpty()
     blocks = max(1, -(-tokens.count() // BLOCK))
-    chosen = scratch.write(prefixes(docs, tokens, singles, blocks), "prefixes")
-    found = None
-    for k in range(blocks):
-        part = F.broadcast(chosen.where(F.expr(f"pmod(token, {blocks}) = {k}")))
-        met = document_tokens(docs.withColumn("key", row_key()), singles, "doc_id", "key").join(part, "token")
-        met = met.withColumn("start", F.expr("pos - off")).where("start >= 0 AND start + len <= size(words)")
-        met = met.where(_plain(F.expr("slice(words, start + 1, len)")) == F.col("body")).select("doc_id", "key", "start", "len", "win")
-        found = met if found is None else found.unionByName(met)
-    return scratch.write(found, "occurrences"), items
+    met = scratch.write(places(docs, tokens, singles, blocks), "places")
+    chosen = scratch.write(prefixes(tokens, met), "prefixes")
+    sizes = met.where(F.col("token") == END).select("doc_id", "key", F.col("pos").cast("long").alias("n_words"))
+    placed = met.where(F.col("token") != END).select("key", "pos", "token").join(small_side(chosen, BLOCK), "token")
+    grouped = placed.where("pos >= off").groupBy("key").agg(F.collect_set(F.struct((F.col("pos") - F.col("off")).alias("start"), "len", "win")).alias("c"))
+    candidates = scratch.write(grouped, "candidates").withColumnRenamed("key", "_key")
+    n = candidates.agg(F.sum(F.size("c"))).first()[0] or 0
+    candidates = F.broadcast(candidates) if n <= CANDIDATES else candidates
+    some = docs.select(row_key().alias("key"), _words("text").alias("words")).join(candidates, F.col("key") == F.col("_key"))
+    # the words at a place name a window; that they are it is compared after
+    fits = F.filter("c", lambda x: (x["start"] + x["len"] <= F.size("words")) & (F.xxhash64(_plain(F.slice("words", x["start"] + 1, x["len"]))) == x["win"]))
+    met_at = some.select("key", "words", F.explode(fits).alias("x")).select(
+        "key", "x.start", "x.len", "x.win", _plain(F.expr("slice(words, x.start + 1, x.len)")).alias("said"))
+    hits = met_at.join(small_side(wins.select("win", "body"), BLOCK), "win").where("said = body").select("key", "start", "len", "win")
+    return scratch.write(hits, "occurrences"), items, sizes
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every
     document row."""
-    hits, items = occurrences(docs, benchmark, Scratch(docs.sparkSession))
-    spans = hits.groupBy("doc_id", "key", "start").agg(F.max(F.expr("start + len")).alias("end"))
-    before = W.partitionBy("key", "doc_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    hits, items, sizes = occurrences(docs, benchmark, Scratch(docs.sparkSession))
+    spans = hits.groupBy("key", "start").agg(F.max(F.expr("start + len")).alias("end"))
+    before = W.partitionBy("key").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     reach = spans.withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(0)))
-    covered = reach.groupBy("key", "doc_id").agg(F.sum(F.expr("greatest(0, end - greatest(start, reach))")).alias("n_hit"))
-    named = hits.select("doc_id", "key", "win").distinct().join(small_side(items, BLOCK), "win").select("doc_id", "key", "item").distinct()
-    listed = named.groupBy("key", "doc_id").agg(F.sort_array(F.collect_set("item")).alias("list"))
-    own = docs.select("doc_id", row_key().alias("key"), F.expr(f"coalesce(regexp_count(text, r'{WORD}'), 0)").cast("long").alias("n_words")).alias("d")
-    same = "d.key = {0}.key AND d.doc_id <=> {0}.doc_id"
-    out = own.join(covered.alias("c"), F.expr(same.format("c")), "left").join(listed.alias("l"), F.expr(same.format("l")), "left")
+    covered = reach.groupBy("key").agg(F.sum(F.expr("greatest(0, end - greatest(start, reach))")).alias("n_hit"))
+    named = hits.select("key", "win").distinct().join(small_side(items, BLOCK), "win").select("key", "item").distinct()
+    listed = named.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("list"))
+    out = sizes.join(covered, "key", "left").join(listed, "key", "left")
     return out.select(
-        "d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("list"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "list"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
@@ -132,6 +158,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any occurrence, with all their columns."""
     scratch = Scratch(docs.sparkSession)
-    hits, _ = occurrences(docs, benchmark, scratch)
-    hit = scratch.write(hits.select("key").distinct().withColumnRenamed("key", "_key"), "contaminated")
+    hits = occurrences(docs, benchmark, scratch)[0]
+    hit = scratch.write(hits.select(F.col("key").alias("_key")).distinct(), "contaminated")
     return docs.withColumn("_key", row_key()).join(small_side(hit, KEYS), "_key", "left_anti").drop("_key")
