@@ -43,7 +43,7 @@ from tessera.session import Scratch
 WORDS = 5
 COORDS, TREES, MODES = 128, 8, 16
 SKETCH_BITS = 57  # differing bits of 256 that a candidate may have: mean 32, deviation 6.3 at the threshold
-PAIRS_PER_ROW = 32  # a node is compared at once up to so many pairs a member
+PAIRS_PER_ROW = (32, 256)  # a root, and a deeper node, is compared at once up to so many pairs a member
 FAMILY = 4096  # members that are compared with each other around one hub
 FAMILY_BITS = 72  # differing bits of a member from the hub: a similarity of some 0.45
 SPREAD = 16  # parts that the comparisons of a family are dealt to
@@ -119,7 +119,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(chosen, sets, "v long, shingles array<bigint>")
 
 
-LINKED = "100L * size(array_intersect(sa, sb)) >= 75L * (size(sa) + size(sb) - size(array_intersect(sa, sb)))"
+#: 100 * i >= 75 * (na + nb - i), with the intersection taken once
+LINKED = "7L * size(array_intersect(sa, sb)) >= 3L * (size(sa) + size(sb))"
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -203,8 +204,9 @@ def links(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         sized = scratch.write(rows.join(node_sizes(rows), "node"), f"nodes-{depth}")
         scratch.drop(f"rows-{depth}")
-        pairs = compare_small(sized.where(f"cross <= {PAIRS_PER_ROW} * m"))
-        large = sized.where(f"cross > {PAIRS_PER_ROW} * m")
+        most = PAIRS_PER_ROW[depth > 0]
+        pairs = compare_small(sized.where(f"cross <= {most} * m"))
+        large = sized.where(f"cross > {most} * m")
         last = large.isEmpty()
         if not last:
             full = scratch.write(large.join(classes.select("v", "sig"), "v"), f"large-{depth}")
