@@ -12,7 +12,7 @@ every result is valid again:
 
 - card numbers of 13 to 19 digits with a right check digit: all digits but
   the last are permuted, the check digit is set anew;
-- North American phone numbers: area and exchange start with 2 to 9;
+- phone numbers of the form +1 (ddd) ddd-dddd: all ten digits;
 - social security numbers: area 001-899 without 666, group and serial not 0;
 - IPv4 addresses: all 32 bits;
 - ISO dates that exist, from 1900-01-01 on for 73,000 days.
@@ -37,7 +37,7 @@ ROUNDS = 8
 #: kind -> pattern, in the order in which they are tried at a place
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "phone": r"(?<![0-9])\+1 ?\([2-9][0-9]{2}\) ?[2-9][0-9]{2}-[0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9])\+1 ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
@@ -135,11 +135,8 @@ def card(value: Column, key: str) -> Column:
 
 def phone(value: Column, key: str) -> Column:
     digits = F.substr(F.regexp_replace(value, "[^0-9]", ""), F.lit(2))
-    part = lambda at, n: F.substr(digits, F.lit(at), F.lit(n)).cast("long")
-    fresh = permuted((part(1, 3) - 200) * 8_000_000 + (part(4, 3) - 200) * 10_000 + part(7, 4), F.lit(2_000), F.lit(3_200_000), key, "phone")
-    area, rest = F.floor(fresh / 8_000_000) + 200, fresh % 8_000_000
-    number = F.concat(F.lit("1"), area.cast("string"), (F.floor(rest / 10_000) + 200).cast("string"), F.lpad((rest % 10_000).cast("string"), 4, "0"))
-    return _refill(value, number)
+    fresh = permuted(digits.cast("long"), F.lit(100_000), F.lit(100_000), key, "phone")
+    return _refill(value, F.concat(F.lit("1"), F.lpad(fresh.cast("string"), 10, "0")))
 
 
 def ssn(value: Column, key: str) -> Column:
