@@ -244,7 +244,8 @@ def links(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, key: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row; with ``key`` also
-    the key of the row."""
+    the key of the row and the component's root, which only rows without words
+    lack."""
     scratch = Scratch(docs.sparkSession)
     own = scratch.write(sketches(docs), "sketches")
     first = [F.first(c).alias(c) for c in ("sig", *BITS)]
@@ -253,25 +254,30 @@ def near_duplicates(docs: DataFrame, key: bool = False) -> DataFrame:
     roots = components(links(docs, classes, scratch), scratch)
     named = classes.select("v", "doc_id").join(roots.withColumnRenamed("id", "v"), "v", "left").withColumn("root", F.coalesce("root", "v"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    names = scratch.write(named.join(least, "root").select("v", "component_id"), "names")
+    names = scratch.write(named.join(least, "root").select("v", "root", "component_id"), "names")
     out = own.select("doc_id", "row", "n_shingles", "v").join(names, "v", "left")
     component = F.coalesce("component_id", "doc_id")
-    out = out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.expr("doc_id <=> coalesce(component_id, doc_id)").alias("kept"))
-    return out if key else out.drop("row")
+    out = out.select("doc_id", "row", "root", "n_shingles", component.alias("component_id"), F.expr("doc_id <=> coalesce(component_id, doc_id)").alias("kept"))
+    return out if key else out.drop("row", "root")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component, that of its smallest doc_id (of rows with
-    one id and one text, one), with all columns. Rows without words stay."""
+    """One row of each component, that of its smallest doc_id, with all
+    columns: of rows with one id the smallest row key, of rows equal in id and
+    text the smallest hash of all columns. Rows without words stay."""
     scratch = Scratch(docs.sparkSession)
     judged = scratch.write(near_duplicates(docs, key=True), "judged")
     words = judged.where("n_shingles > 0")
     gone = words.where("NOT kept").select("row").distinct()
-    # rows with the kept id that are alike: all but one go
-    twice = words.where("kept").groupBy("component_id").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1")
-    rest = docs.withColumn("_row", row_key()).join(small_side(gone.withColumnRenamed("row", "_row"), BROADCAST_IDS), "_row", "left_anti")
+    # of several rows with the kept id all go and one comes back
+    twice = words.where("kept").groupBy("root").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1")
+    keyed = docs.withColumn("_row", row_key())
+    rest = keyed.join(small_side(gone.withColumnRenamed("row", "_row"), BROADCAST_IDS), "_row", "left_anti")
+    twice = scratch.write(twice, "twice")
     if twice.isEmpty():
         return rest.drop("_row")
-    kept = words.where("kept").join(twice, "component_id").where("row <> least").select(F.col("row").alias("_row")).distinct()
-    rest = rest.join(small_side(kept, BROADCAST_IDS), "_row", "left_anti")
-    return rest.drop("_row")
+    alike = scratch.write(words.where("kept").join(twice, "root").select(F.col("row").alias("_row")).distinct(), "alike")
+    rest = rest.join(small_side(alike, BROADCAST_IDS), "_row", "left_anti").drop("_row")
+    back = keyed.join(small_side(twice.select(F.col("least").alias("_row")), BROADCAST_IDS), "_row", "left_semi")
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_one")
+    return rest.unionByName(back.groupBy("_row").agg(one).select("_one.*"))

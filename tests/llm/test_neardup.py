@@ -80,3 +80,14 @@ def test_keep_one_leaves_one_row_a_group(dirty):
     assert len([t for t in texts if t[1] and t[1].startswith("The quick")]) >= 1
     assert {t[0] for t in texts if not t[1]} == {1, 2, None}
     assert neardup.near_duplicates(kept).where("n_shingles > 0 AND NOT kept").count() == 0
+
+
+def test_keep_one_leaves_exactly_one_row_of_repeated_rows(spark, dirty):
+    rows = [(r.doc_id, r.text) for r in neardup.keep_one(dirty).collect()]
+    worded = [r for r in rows if r[1] and r[1].strip()]
+    assert len(worded) == len(set(worded))
+    text = "alpha " + " ".join(f"n{i}" for i in range(20))
+    rows = [(None, text, "a"), (None, text, "a"), (None, text + " eta", "b"), (5, "one two three four five six", "c")]
+    rows += [(5, "one two three four five six", s) for s in "cde"] + [(5, "six words under the same id", "f"), (8, None, "g"), (8, None, "g")]
+    found = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    assert sorted((r.doc_id or 0, (r.text or "")[:3]) for r in found) == [(0, "alp"), (5, "one"), (5, "six"), (8, ""), (8, "")]
