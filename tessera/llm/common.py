@@ -62,16 +62,29 @@ def row_key():
     return F.xxhash64("doc_id", "text")
 
 
-def map_batches(df: DataFrame, work, schema: str) -> DataFrame:
+def slices(batch: pa.RecordBatch, most_bytes: int):
+    """``batch`` in order, in parts of at most ``most_bytes`` or one row."""
+    if batch.num_rows < 2 or batch.nbytes <= most_bytes:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from slices(batch.slice(0, half), most_bytes)
+    yield from slices(batch.slice(half), most_bytes)
+
+
+def map_batches(df: DataFrame, work, schema: str, most_bytes: int = 1 << 62) -> DataFrame:
     """``mapInArrow`` with plain values, so that nullable integers stay exact.
 
     ``work`` gets an iterator of batches whose attributes are the columns as
     lists, and yields dicts of columns or lists of rows in schema order.
+    ``most_bytes`` bounds what is held as Python values at a time, but for a
+    single row beyond it.
     """
     kinds = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        plain = (SimpleNamespace(**dict(zip(b.schema.names, (c.to_pylist() for c in b.columns)))) for b in batches if b.num_rows)
+        parts = (part for b in batches if b.num_rows for part in slices(b, most_bytes))
+        plain = (SimpleNamespace(**dict(zip(b.schema.names, (c.to_pylist() for c in b.columns)))) for b in parts)
         for out in work(plain):
             if isinstance(out, list):
                 out = dict(zip(kinds.names, zip(*out))) if out else {}
