@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.numbering import numbered
+from tessera.session import Scratch
+
 
 def first_seen(df: DataFrame, key: str | Column | Sequence[str | Column], order_col: str = "id",
                count_col: str | None = "n") -> DataFrame:
@@ -23,3 +26,10 @@ def first_seen(df: DataFrame, key: str | Column | Sequence[str | Column], order_
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     return df.groupBy(*keys).agg(*aggs)
+
+
+def seen_positions(found: DataFrame, order_col: str = "id", out: str = "position") -> DataFrame:
+    """The rows of :func:`first_seen` with their places 0..n-1 in first-seen
+    order (keys first seen at the same place go by their values)."""
+    first = f"first_{order_col}"
+    return numbered(found, [first, *[c for c in found.columns if c != first]], out, Scratch(found.sparkSession), "first-seen")

@@ -5,26 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.crs import transform
 from tessera.functions.projection import latlon_to_xy, xy_to_latlon
 from tessera.operators.tiles import cover, with_tile
 
 
-def to_latlon(df: DataFrame, x: str = "x", y: str = "y", lat: str = "lat", lon: str = "lon") -> DataFrame:
+GRID, GEOGRAPHIC = "epsg:3067", "epsg:4326"  # ETRS-TM35FIN, WGS 84
+
+
+def to_latlon(df: DataFrame, x: str = "x", y: str = "y", lat: str = "lat", lon: str = "lon", dst: str = GEOGRAPHIC) -> DataFrame:
+    """Adds latitude and longitude of national grid points. With another
+    ``dst`` (see :mod:`tessera.functions.crs`) they are that system's
+    coordinates: latitude and longitude, or easting and northing of a grid."""
+    if dst != GEOGRAPHIC:
+        return transform(df, GRID, dst, x, y, (lat, lon))
     la, lo = xy_to_latlon(x, y)
     return df.withColumns({lat: la, lon: lo})
 
 
-def to_xy(df: DataFrame, lat: str = "lat", lon: str = "lon", x: str = "x", y: str = "y") -> DataFrame:
+def to_xy(df: DataFrame, lat: str = "lat", lon: str = "lon", x: str = "x", y: str = "y", src: str = GEOGRAPHIC) -> DataFrame:
+    """Adds national grid coordinates of points given in ``src``."""
+    if src != GEOGRAPHIC:
+        return transform(df, src, GRID, lat, lon, (x, y))
     xx, yy = latlon_to_xy(lat, lon)
     return df.withColumns({x: xx, y: yy})
 
 
 def tile_of_latlon(df: DataFrame, lat: str = "lat", lon: str = "lon", out: str = "tile", level: int = 9,
-                   uniq: bool = False, order_col: str = "id") -> DataFrame:
-    """Adds the tile name at ``level``; with ``uniq`` the distinct tiles with
+                   uniq: bool = False, order_col: str = "id", src: str = GEOGRAPHIC) -> DataFrame:
+    """Adds the tile name at ``level`` of points given in ``src``; with ``uniq`` the distinct tiles with
     their first-seen ``order_col`` and count. The projection is evaluated once
     into columns of its own, which the tile digits then read."""
-    placed = to_xy(df, lat, lon, "_x", "_y")
+    placed = to_xy(df, lat, lon, "_x", "_y", src)
     if uniq:
         return cover(placed, "_x", "_y", level, order_col, out)
     return with_tile(placed, "_x", "_y", out, level).drop("_x", "_y")

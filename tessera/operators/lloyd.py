@@ -4,7 +4,8 @@ One pass = one Spark job:
 
 * assignment — a narrow projection: each row compares itself with the k
   centroids, which travel inside the plan as literal arrays (k·d doubles,
-  size-checked), and keeps the nearest (ties -> lowest index);
+  size-checked), and keeps the nearest (ties -> lowest index); beyond that size
+  the centroids are a written table with an index (:mod:`centroid_index`);
 * update — ``groupBy(cluster)`` with count/mean/var_pop partial aggregates
   in every task, so the shuffle carries at most k rows per task whatever
   the cluster sizes (a cluster holding a third of the points costs nothing
@@ -38,10 +39,11 @@ from tessera.sources.local import literal_table
 # Largest centroid set (k x d doubles) carried in one plan / task closure; a
 # sweep advances its models in batches below it.
 CENTROID_VALUE_LIMIT = 4_000_000
-# Features are summed as integers in units of 1e-12, so that sums don't depend
-# on the order of rows or tasks. A 63-bit value is summed in three parts of 21
-# bits, which hold 4e12 rows.
-UNIT = 1e12
+# Features are summed as integers, so that sums don't depend on the order of
+# rows or tasks. Each feature has a power of two as its unit, which makes its
+# largest absolute value a 61-bit integer; a value is summed in three parts of
+# 21 bits, which hold 4e12 rows.
+BITS = 61
 PART = 1 << 21
 # Up to this many centroid values the assignment stays a JVM expression;
 # above it the Arrow-batched kernel is used (measured: equal speed at
@@ -213,7 +215,12 @@ def nearest_kernel(features: Sequence[str], centroid_sets: Sequence[Centroids])
 def assign(df: DataFrame, features: Sequence[str], centroids: Centroids, out: str = "cluster",
            method: str = "auto") -> DataFrame:
     """Adds the nearest centroid index. ``method``: "jvm" (column
-    expression), "arrow" (vectorised kernel) or "auto" (by size)."""
+    expression), "arrow" (vectorised kernel), "index" (written centroid table,
+    for any number of centroids) or "auto" (by size)."""
+    if method == "index" or method == "auto" and len(centroids) * len(features) > CENTROID_VALUE_LIMIT:
+        from tessera.operators import centroid_index as CI
+
+        return CI.assign_indexed(df, features, CI.build(CI.centroid_table(df.sparkSession, centroids, features), features), out)
     if method == "auto":
         method = "jvm" if len(centroids) * len(features) <= JVM_ASSIGN_LIMIT else "arrow"
     if method == "jvm":
@@ -221,29 +228,48 @@ def assign(df: DataFrame, features: Sequence[str], centroids: Centroids, out: st
     return df.withColumn(out, nearest_kernel(features, [centroids])["m0"])
 
 
-def update_stats(assigned: DataFrame, features: Sequence[str], label: str | Sequence[str] = "cluster") -> DataFrame:
+Units = dict[str, int]  # feature -> exponent of two
+
+
+def unit_exponents(df: DataFrame, features: Sequence[str]) -> Units:
+    """The units of exact sums: x * 2^e is below 2^BITS for every value x.
+    One aggregate; an infinite value raises, as no sum can hold it."""
+    most = df.agg(*[F.max(F.abs(F.nanvl(F.col(f).cast("double"), F.lit(None)))).alias(f) for f in features]).first()
+    out = {}
+    for f in features:
+        m = most[f] or 0.0
+        if math.isinf(m):
+            raise ValueError(f"{f} holds an infinite value")
+        out[f] = max(-1000, min(1000, BITS - math.frexp(m)[1]))
+    return out
+
+
+def update_stats(assigned: DataFrame, features: Sequence[str], label: str | Sequence[str] = "cluster",
+                 units: Units | None = None) -> DataFrame:
     """Per cluster (or per model and cluster): n, new mean per feature and
-    the SSE around it. Means come from exact integer sums. Rows without a
-    label take no part."""
+    the SSE around it. Means come from exact integer sums in ``units``, those
+    of :func:`unit_exponents` when none are given. Rows without a label take
+    no part."""
     n = F.count(F.lit(1))
+    keys = [label] if isinstance(label, str) else list(label)
+    known = assigned.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    units = units or unit_exponents(known, features)
     sse, parts = None, []
     for f in features:
         term = F.var_pop(f) * n
         sse = term if sse is None else sse + term
-        units = F.floor(F.col(f) * F.lit(UNIT) + F.lit(0.5)).cast("bigint")
+        whole = F.rint(F.col(f) * F.lit(2.0 ** units[f])).cast("bigint")
         for j in range(3):
-            part = F.shiftright(units, 21 * j)
+            part = F.shiftright(whole, 21 * j)
             parts.append(F.sum(part if j == 2 else part.bitwiseAND(F.lit(PART - 1))).alias(f"_{f}_{j}"))
-    keys = [label] if isinstance(label, str) else list(label)
-    known = assigned.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
-    return _means(known.groupBy(*keys).agg(n.alias("n"), *parts, sse.alias("sse")), features, keys)
+    return _means(known.groupBy(*keys).agg(n.alias("n"), *parts, sse.alias("sse")), features, keys, units)
 
 
-def _means(sums: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def _means(sums: DataFrame, features: Sequence[str], keys: Sequence[str], units: Units) -> DataFrame:
     """Means from the three parts of each integer sum."""
     def mean(f: str) -> Column:
         whole = [F.col(f"_{f}_{j}").cast("decimal(19,0)") * F.lit(PART**j).cast("decimal(14,0)") for j in range(3)]
-        return (whole[2] + whole[1] + whole[0]).cast("double") / F.col("n") / F.lit(UNIT)
+        return (whole[2] + whole[1] + whole[0]).cast("double") / F.col("n") * F.lit(2.0 ** -units[f])
 
     return sums.select(*keys, "n", *[mean(f).alias(f) for f in features], "sse")
 
@@ -280,6 +306,10 @@ class LloydResult:
         rows = [(i, self.sizes[i], *c) for i, c in enumerate(self.centroids)]
         return literal_table(spark, rows, schema)
 
+    def label(self, df: DataFrame, features: Sequence[str], out: str = "cluster") -> DataFrame:
+        """``df`` with the labels of the last assignment."""
+        return assign(df, features, self.assigned_with, out)
+
 
 def lloyd(points: DataFrame, features: Sequence[str], k: int | None = None,
           init: Centroids | None = None, tol: float = 1.5, max_iter: int = 200,
@@ -287,13 +317,19 @@ def lloyd(points: DataFrame, features: Sequence[str], k: int | None = None,
           reuse: str = "cache", method: str = "auto") -> LloydResult:
     """Iterate assign -> update until Σ_i |c_i' - c_i| < tol or the pass
     number exceeds ``max_iter`` (so at most max_iter + 1 passes)."""
-    pts = for_reuse(points.select(id_col, *features), reuse)
+    size = (len(init) if init is not None else k) * len(features)
+    if size > CENTROID_VALUE_LIMIT and method == "auto" or method == "index":
+        from tessera.operators import centroid_index as CI
+
+        return CI.lloyd_indexed(points, features, k, init, tol, max_iter, seed, id_col, reuse)
+    pts = for_reuse(points.select(id_col, *features), reuse, laid_out=False)
     try:
         cents = list(init) if init is not None else seed_centroids(pts, features, k, seed, id_col)
+        units = unit_exponents(pts, features)
         history = []
         it = 1
         while True:
-            rows = update_stats(assign(pts, features, cents, label, method), features, label).collect()
+            rows = update_stats(assign(pts, features, cents, label, method), features, label, units).collect()
             new, sizes, sse = _apply_update(cents, rows, features, label)
             shift = sum(_dist(a, b) for a, b in zip(cents, new))
             history.append((it, shift, sse))
@@ -318,16 +354,19 @@ def _batches(ks: Sequence[int], dims: int) -> list[list[int]]:
     return out
 
 
-def sweep_stats(pts: DataFrame, features: Sequence[str], models: dict[int, Centroids]) -> DataFrame:
+def sweep_stats(pts: DataFrame, features: Sequence[str], models: dict[int, Centroids],
+                units: Units | None = None) -> DataFrame:
     """:func:`update_stats` of several models at once, with columns model and
     cluster. A task adds up its rows per (model, cluster) and emits one row
-    each at most, so neither Python nor the shuffle carries rows x models."""
+    each at most, so neither Python nor the shuffle carries rows x models.
+    Squares are summed around the assigned centroid, near the mean."""
     for c in models.values():
         _check_size(c)
     sets = {m: np.asarray(c, dtype=np.float64) for m, c in models.items()}
-    dims, unit, part = len(features), UNIT, PART
+    units = units or unit_exponents(pts, features)
+    dims, unit, part = len(features), np.array([2.0 ** units[f] for f in features]), PART
     _, rows_fn = _kernel_functions(KERNEL_BLOCK_VALUES)
-    names = ["model", "cluster", "n", *[f"_{f}_{j}" for f in features for j in range(3)], "_square"]
+    names = ["model", "cluster", "n", *[f"_{f}_{j}" for f in features for j in range(3)], "_square", *[f"_at_{f}" for f in features]]
 
     def add_up(batches):
         squares = {m: np.zeros(len(c)) for m, c in sets.items()}
@@ -337,26 +376,29 @@ def sweep_stats(pts: DataFrame, features: Sequence[str], models: dict[int, Centr
             pts = pts[~np.isnan(pts).any(axis=1)]
             if not len(pts):
                 continue
-            units = np.floor(pts * unit + 0.5).astype(np.int64)
-            parts = [(units[:, j] >> (21 * p)) & (part - 1) if p < 2 else units[:, j] >> 42 for j in range(dims) for p in range(3)]
-            square = np.einsum("ij,ij->i", pts, pts)
+            whole = np.rint(pts * unit).astype(np.int64)
+            parts = [(whole[:, j] >> (21 * p)) & (part - 1) if p < 2 else whole[:, j] >> 42 for j in range(dims) for p in range(3)]
             for m, cent in sets.items():
                 labels, k = rows_fn(pts, cent), len(cent)
                 exact[m][:, 0] += np.bincount(labels, minlength=k)
                 for i, values in enumerate(parts):  # a batch's sums of 21-bit values are exact doubles
                     exact[m][:, 1 + i] += np.bincount(labels, weights=values, minlength=k).astype(np.int64)
-                squares[m] += np.bincount(labels, weights=square, minlength=k)
+                away = pts - cent[labels]
+                squares[m] += np.bincount(labels, weights=np.einsum("ij,ij->i", away, away), minlength=k)
         for m in sets:
             used = np.flatnonzero(exact[m][:, 0])
-            cols = [np.full(len(used), m), used, *exact[m][used].T, squares[m][used]]
+            cols = [np.full(len(used), m), used, *exact[m][used].T, squares[m][used], *sets[m][used].T]
             yield pd.DataFrame(dict(zip(names, cols)))
 
-    kinds = ["int", "int", *["long"] * (1 + 3 * dims), "double"]
+    kinds = ["int", "int", *["long"] * (1 + 3 * dims), *["double"] * (1 + dims)]
     partial = pts.select(*features).mapInPandas(add_up, ", ".join(f"`{n}` {t}" for n, t in zip(names, kinds)))
-    sums = partial.groupBy("model", "cluster").agg(*[F.sum(n).alias(n) for n in names[2:]])
-    means = _means(sums.withColumnRenamed("_square", "sse"), features, ["model", "cluster"])
-    norm = reduce(lambda a, b: a + b, [F.col(f) * F.col(f) for f in features])
-    return means.withColumn("sse", F.greatest(F.lit(0.0), F.col("sse") - F.col("n") * norm))
+    ats = [f"_at_{f}" for f in features]
+    sums = partial.groupBy("model", "cluster").agg(
+        *[F.sum(n).alias(n) for n in names[2:-dims]], *[F.first(a).alias(a) for a in ats])
+    keys = ["model", "cluster", "_square", *ats]
+    moved = squared_distance([F.col(f) for f in features], [F.col(a) for a in ats])
+    means = _means(sums.withColumn("sse", F.col("_square")), features, keys, units)
+    return means.select("model", "cluster", "n", *features, F.greatest(F.lit(0.0), F.col("_square") - F.col("n") * moved).alias("sse"))
 
 
 def lloyd_sweep(points: DataFrame, features: Sequence[str], ks: Sequence[int], tol: float = 2.0,
@@ -369,17 +411,25 @@ def lloyd_sweep(points: DataFrame, features: Sequence[str], ks: Sequence[int], t
 
     Returns (k, final SSE, passes) per k.
     """
-    pts = for_reuse(points.select(id_col, *features), reuse)
+    large = {k for k in ks if k * len(features) > CENTROID_VALUE_LIMIT}
+    done: dict[int, tuple[float, int]] = {}
+    for k in sorted(large):
+        found = lloyd(points, features, k, tol=tol, max_iter=max_iter, seed=seed, id_col=id_col, reuse=reuse)
+        done[k] = found.sse, found.passes
+    small = [k for k in ks if k not in large]
+    if not small:
+        return [(k, *done[k]) for k in ks]
+    pts = for_reuse(points.select(id_col, *features), reuse, laid_out=False)
     try:
-        ordered = seed_centroids(pts, features, max(ks), seed, id_col)
-        state = {k: ordered[:k] for k in ks}
-        done: dict[int, tuple[float, int]] = {}
+        ordered = seed_centroids(pts, features, max(small), seed, id_col)
+        units = unit_exponents(pts, features)
+        state = {k: ordered[:k] for k in small}
         it = 1
         while len(done) < len(set(ks)):
             active = [k for k in state if k not in done]
             by_model: dict[int, list] = {k: [] for k in active}
             for batch in _batches(active, len(features)):
-                for r in sweep_stats(pts, features, {k: state[k] for k in batch}).collect():
+                for r in sweep_stats(pts, features, {k: state[k] for k in batch}, units).collect():
                     by_model[r["model"]].append(r)
             for k in active:
                 new, _, sse = _apply_update(state[k], by_model[k], features, "cluster")
@@ -388,7 +438,6 @@ def lloyd_sweep(points: DataFrame, features: Sequence[str], ks: Sequence[int], t
                 if shift < tol or it > max_iter:
                     done[k] = (sse, it)
             it += 1
-        return [(k, done[k][0], done[k][1]) for k in ks]
+        return [(k, *done[k]) for k in ks]
     finally:
         release(pts)
-

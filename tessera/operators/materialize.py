@@ -11,21 +11,23 @@ ROWS_PER_PARTITION = 1_000_000
 LEAST_PARTITIONS = 8
 
 
-def for_reuse(df: DataFrame, how: str = "cache", key: str = "id", parts: int | None = None) -> DataFrame:
+def for_reuse(df: DataFrame, how: str = "cache", key: str = "id", parts: int | None = None, laid_out: bool = True) -> DataFrame:
     """Materialise ``df`` for many passes, laid out by ``key``.
 
     The rows are hashed on ``key`` into ``parts`` partitions and sorted there,
     so order-sensitive steps (MLlib's random draws, floating sums) see the
     same rows in the same places on any cluster. Without ``parts`` their
-    number follows the row count alone, never the cores.
+    number follows the row count alone, never the cores. With ``laid_out``
+    false the rows stay as they are, for steps that no order changes.
 
     ``cache``: persist MEMORY_AND_DISK; a lost executor's blocks are rebuilt
     from the (short) lineage. ``checkpoint``: write to the cluster's shared
     checkpoint folder, cutting lineage (for long upstream plans).
     """
-    if parts is None:
-        parts = max(LEAST_PARTITIONS, -(-df.count() // ROWS_PER_PARTITION))
-    df = df.repartition(parts, key).sortWithinPartitions(key)
+    if laid_out:
+        if parts is None:
+            parts = max(LEAST_PARTITIONS, -(-df.count() // ROWS_PER_PARTITION))
+        df = df.repartition(parts, key).sortWithinPartitions(key)
     if how == "checkpoint":
         shared_dir(df.sparkSession)
         return df.checkpoint(eager=True)

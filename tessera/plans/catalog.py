@@ -23,7 +23,10 @@ from tessera.operators.cost import cluster_sse, sum_distance_to_mean, total_sse
 from tessera.operators.elbow import DEFAULT_KS
 from tessera.operators.geocode import geocode, tile_of_latlon, to_latlon, to_xy
 from tessera.operators.kmeans_ml import member_centroids
+from tessera.operators import centroid_index
+from tessera.operators.dedupe import seen_positions
 from tessera.operators.lloyd import assign, lloyd, sample_seeds, seed_centroids, update_stats
+from tessera.operators.lloyd_bounded import lloyd_bounded
 from tessera.operators.preview import preview
 from tessera.operators.scale import extremes, fit_minmax, scale, unscale
 from tessera.operators.weekday import attach_weekday, decode_weekday, encode_weekday
@@ -31,7 +34,10 @@ from tessera.plans import oracle_sql as O
 from tessera.plans import pipelines as PL
 from tessera.session import scratch_path
 from tessera.sinks.csv import write_centroids, write_csv, write_elbow, write_geocoded, write_points
+from tessera.functions.crs import transform
+from tessera.sources import descriptor
 from tessera.sources import fixtures as FX
+from tessera.sources.inference import infer_types, read_inferred
 from tessera.sources.local import literal_table
 from tessera.sources.delimited import (
     coordinate_reject_counts, parse_accident_lines, read_accident_lines, read_accidents, read_coordinates)
@@ -107,6 +113,36 @@ def q_coordinate_csv_scan(spark, sf):
     return read_coordinates(spark, path).select("x", "y", "label")
 
 
+def q_infer_types(spark, sf):
+    """Type, nulls and width of each of the 102 columns of written files."""
+    path = scratch_path(spark, "accident-files")
+    FX.accident_lines(spark, sf, with_header=False).write.text(path)
+    names = [f.name for f in descriptor.ACCIDENT.schema.fields]
+    plain = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return infer_types(spark.read.schema(plain).options(sep=";", header="false").csv(path))
+
+
+def q_read_inferred(spark, sf):
+    """Files with a header, read with the types their fields allow."""
+    path = scratch_path(spark, "inferred-csv")
+    pts = FX.accident_points(spark, sf)
+    write_csv(pts.select("id", F.expr("CAST(X AS STRING)").alias("X"), F.expr("CAST(Y AS BIGINT)").alias("Y"), "Vkpv"), path, sep=";")
+    df = read_inferred(spark, path)
+    kinds = ",".join(f.dataType.simpleString() for f in df.schema.fields)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id").cast("bigint")).alias("sum_id"), F.sum(F.nanvl("X", F.lit(0.0))).alias("sum_x"),
+                  F.sum(F.col("Y").cast("bigint")).alias("sum_y"), F.lit(kinds).alias("kinds"))
+
+
+def q_described_tables(spark, sf):
+    """Three tables written with their descriptor, read by it and checked."""
+    base = scratch_path(spark, "described")
+    for name, df in FX.described_tables(spark, sf).items():
+        write_csv(df, f"{base}/{name}", sep=";")
+    text = descriptor.render([descriptor.ACCIDENT, descriptor.PARTY, descriptor.PERSON])
+    literal_table(spark, [(text,)], T.StructType([T.StructField("value", T.StringType())])).coalesce(1).write.text(f"{base}/descriptor")
+    return descriptor.check(spark, descriptor.read_descriptor(spark, f"{base}/descriptor"), base)
+
+
 def q_coordinate_rejects(spark, sf):
     return coordinate_reject_counts(FX.coordinate_lines(spark, sf))
 
@@ -234,6 +270,39 @@ def q_lloyd_step(spark, sf):
     return st.select("cluster", "n", *[_r(f, 8).alias(f) for f in p.features], _r("sse", 6).alias("sse"))
 
 
+INDEXED_K, INDEXED_LLOYD_K, INDEXED_PASSES = 10_000, 500, 3
+BOUNDED_PASSES = 20
+
+
+def _line_places(spark, sf):
+    """(idx, features) of INDEXED_K places made from lines' keys, in md5 order."""
+    key = F.col("id")
+    lines = FX.table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")).distinct()
+    values = [(key * 7919 % 100003) / F.lit(100003.0), (key * 104729 % 100019) / F.lit(100019.0), (key * 31 % 2003) / F.lit(1001.5) - 1.0, (key * 17 % 1999) / F.lit(999.5) - 1.0]
+    return lines.select(key, *[v.alias(f) for v, f in zip(values, PL.FEATURES_LLOYD)])
+
+
+def q_nearest_centroid_indexed(spark, sf):
+    """Nearest of 10,000 centroids that stay in a written, indexed table."""
+    p = _prep_lloyd(spark, sf)
+    index = centroid_index.build(sample_seeds(_line_places(spark, sf), p.features, INDEXED_K, LLOYD_SEED), p.features)
+    return centroid_index.assign_indexed(p.df, p.features, index).select("id", "cluster")
+
+
+def q_lloyd_indexed_steps(spark, sf):
+    p = _prep_lloyd(spark, sf)
+    res = lloyd(p.df, p.features, k=INDEXED_LLOYD_K, tol=0.0, max_iter=INDEXED_PASSES - 1, seed=LLOYD_SEED, method="index")
+    return _lloyd_frame(PL.LloydRun(p, res))
+
+
+def q_lloyd_bounded(spark, sf):
+    """Lloyd with bounds: the centroids of the plain run, from fewer distances."""
+    p = _prep_lloyd(spark, sf)
+    res = lloyd_bounded(p.df, p.features, k=LLOYD_K, tol=0.0, max_iter=BOUNDED_PASSES - 1, seed=LLOYD_SEED)
+    frame = _lloyd_frame(PL.LloydRun(p, res))
+    return frame.select("*", F.lit(3 * res.distances < res.exhaustive).alias("under_third"))
+
+
 def _lloyd_frame(run: PL.LloydRun) -> DataFrame:
     c = run.centroids()
     return c.select("cluster", "n", _r("X", 4).alias("X"), _r("Y", 4).alias("Y"), _r("Day", 6).alias("Day"))
@@ -408,6 +477,34 @@ def q_tile_cover(spark, sf):
     return tile_ops.cover(_clean_points(spark, sf), "X", "Y", level=5)
 
 
+def q_tile_cover_positions(spark, sf):
+    """The covered tiles with their places in first-seen order."""
+    return seen_positions(tile_ops.cover(_clean_points(spark, sf), "X", "Y", level=5))
+
+
+GRIDS = (2391, 2392, 2393, 2394, 32634, 32635, 32636)
+
+
+def q_project_grids(spark, sf):
+    """National grid points in the old grid's zones and in UTM, and back."""
+    pts, out = _clean_points(spark, sf).select("id", "X", "Y"), None
+    for code in GRIDS:
+        there = to_latlon(pts, "X", "Y", "n", "e", f"epsg:{code}")
+        back = to_xy(there, "n", "e", "X2", "Y2", f"epsg:{code}")
+        one = back.select("id", F.lit(code).alias("epsg"), _r("n", 3).alias("easting"), _r("e", 3).alias("northing"),
+                          (F.greatest(F.abs(F.col("X2") - F.col("X")), F.abs(F.col("Y2") - F.col("Y"))) < 0.001).alias("back_within_mm"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_project_datums(spark, sf):
+    """Geographic points of the old datum: in WGS 84, and their tiles."""
+    pts = _lonlat_points(spark, sf)
+    moved = transform(pts, "epsg:4123", "epsg:4326", "lat", "lon", ("lat2", "lon2"))
+    tiles = tile_of_latlon(moved, "lat", "lon", src="epsg:4123")
+    return tiles.select("id", _r("lat2", 7).alias("lat"), _r("lon2", 7).alias("lon"), "tile")
+
+
 def q_project_to_lonlat(spark, sf):
     ll = to_latlon(_clean_points(spark, sf), "X", "Y")
     return ll.select("id", _r("lat", 7).alias("lat"), _r("lon", 7).alias("lon"))
@@ -476,6 +573,9 @@ QUERIES: dict[str, Query] = {
     "cost_sse_total": q_cost_sse_total,
     "sample_seeds": q_sample_seeds,
     "nearest_centroid": q_nearest_centroid,
+    "nearest_centroid_indexed": q_nearest_centroid_indexed,
+    "lloyd_indexed_steps": q_lloyd_indexed_steps,
+    "lloyd_bounded": q_lloyd_bounded,
     "lloyd_step": q_lloyd_step,
     "lloyd_fixed_iters": q_lloyd_fixed_iters,
     "centroid_shift": q_centroid_shift,
@@ -496,6 +596,12 @@ QUERIES: dict[str, Query] = {
     "tile_rollup_counts": q_tile_rollup_counts,
     "tile_describe": q_tile_describe,
     "tile_cover": q_tile_cover,
+    "infer_types": q_infer_types,
+    "read_inferred": q_read_inferred,
+    "described_tables": q_described_tables,
+    "tile_cover_positions": q_tile_cover_positions,
+    "project_grids": q_project_grids,
+    "project_datums": q_project_datums,
     "project_to_lonlat": q_project_to_lonlat,
     "project_to_xy": q_project_to_xy,
     "tile_of_lonlat": q_tile_of_lonlat,
@@ -624,6 +730,9 @@ def oracle() -> dict[str, str]:
         "sample_seeds": sl + ", " + seeds_sql + "\nSELECT CAST(idx AS INTEGER) AS idx, id, round(f1, 12) AS X_scaled, "
                         "round(f2, 12) AS Y_scaled, round(f3, 12) AS dow_x, round(f4, 12) AS dow_y FROM seeds",
         "nearest_centroid": sl + ", " + seeds_sql + ", " + asg_sql + "\nSELECT id, CAST(cluster AS INTEGER) AS cluster FROM asg",
+        "nearest_centroid_indexed": sl + ", " + O.line_places_cte(LLOYD_SEED, INDEXED_K) + ", " + asg_sql + "\nSELECT id, CAST(cluster AS INTEGER) AS cluster FROM asg",
+        "lloyd_indexed_steps": _lloyd_final_sql(lloyd_cents, [INDEXED_LLOYD_K], 0.0, INDEXED_PASSES - 1),
+        "lloyd_bounded": _lloyd_final_sql(lloyd_cents.replace("SELECT ", "SELECT true AS under_third, ", 1), [LLOYD_K], 0.0, BOUNDED_PASSES - 1),
         "lloyd_step": sl + ", " + seeds_sql + ", " + asg_sql + (
             "\nSELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, round(avg(f1), 8) AS X_scaled, "
             "round(avg(f2), 8) AS Y_scaled, round(avg(f3), 8) AS dow_x, round(avg(f4), 8) AS dow_y, round("
@@ -670,6 +779,16 @@ def oracle() -> dict[str, str]:
         "tile_cover": base + (
             f"SELECT tile, min(id) AS first_id, count(*) AS n FROM (SELECT id, {O.rollup_sql(tile)[5]} AS tile "
             "FROM clean2) WHERE tile IS NOT NULL GROUP BY tile"),
+        "infer_types": base + O.types_sql(),
+        "read_inferred": base + (
+            "SELECT count(*) AS n, CAST(sum(id) AS BIGINT) AS sum_id, sum(CASE WHEN isnan(X) THEN 0.0 ELSE X END) AS sum_x, CAST(sum(Y) AS BIGINT) AS sum_y, "
+            "'int,double,int,string' AS kinds FROM points"),
+        "described_tables": O.described_sql(),
+        "tile_cover_positions": base + (
+            f"SELECT tile, first_id, n, row_number() OVER (ORDER BY first_id, tile) - 1 AS position FROM (SELECT tile, min(id) AS first_id, count(*) AS n "
+            f"FROM (SELECT id, {O.rollup_sql(tile)[5]} AS tile FROM clean2) WHERE tile IS NOT NULL GROUP BY tile)"),
+        "project_grids": base + ", " + O.grids_sql(GRIDS),
+        "project_datums": O.datums_sql(tile),
         "project_to_lonlat": base + f"SELECT id, round({lat}, 7) AS lat, round({lon}, 7) AS lon FROM clean2",
         "project_to_xy": lonlat + "SELECT id, round(X, 3) AS x, round(Y, 3) AS y FROM grid",
         "tile_of_lonlat": lonlat + f"SELECT id, {tile} AS tile FROM grid",

@@ -9,6 +9,7 @@ import math
 
 from tessera.functions.cyclic import DAY_POINTS, WEEKDAY_NAMES
 from tessera.sources import fixtures as FX
+from tessera.sources.schemas import ACCIDENT_FIELDS
 
 # Fixed values of the grid and the projection, written out here once more so
 # that a slip in the library cannot pass its own twin.
@@ -140,26 +141,24 @@ def size_sql(t: str) -> tuple[str, str]:
             f"(CASE WHEN {lv} >= 0 THEN [{hs}][{lv} + 1] END)")
 
 
+# What a name's characters add: place in the name, the codes there, and the
+# width and height of one of their cells. Codes count north first, then east;
+# a half's letter moves east by the width of its level.
+GRID_STEPS = ((2, "1234", 96000.0, 48000.0, 1), (3, "1234", 48000.0, 24000.0, 3), (4, "1234", 24000.0, 12000.0, 5),
+              (5, "ABCDEFGH", 6000.0, 6000.0, 7), (6, "1234", 3000.0, 3000.0, 9))
+
+
 def anchor_sql(t: str, anchor: str) -> tuple[str, str]:
-    fx, fy = GRID_ANCHORS[anchor]
-
-    def c(i):
-        return f"substr({t}, {i + 1}, 1)"
-
-    def flag(i, chars, size):
-        lst = ", ".join(f"'{ch}'" for ch in chars)
-        return f"(CASE WHEN {c(i)} IN ({lst}) THEN {size} ELSE 0.0 END)"
-
-    eighth = (f"(CASE WHEN {c(5)} IN ('C','D') THEN 1.0 WHEN {c(5)} IN ('E','F','R') THEN 2.0 "
-              f"WHEN {c(5)} IN ('G','H') THEN 3.0 ELSE 0.0 END)")
-    x = (f"({GRID_X} + TRY_CAST({c(1)} AS DOUBLE) * 192000.0 + {flag(2, '34R', 96000.0)} + {flag(3, '34R', 48000.0)}"
-         f" + {flag(4, '34R', 24000.0)} + {eighth} * 6000.0 + {flag(6, '34', 3000.0)})")
-    y = (f"({GRID_Y} + CAST(instr('{GRID_ROWS}', {c(0)}) - 1 AS DOUBLE) * 96000.0 + {flag(2, '24', 48000.0)}"
-         f" + {flag(3, '24', 24000.0)} + {flag(4, '24', 12000.0)} + {flag(5, 'BDFH', 6000.0)} + {flag(6, '24', 3000.0)})")
-    w, h = size_sql(t)
-    lv = level_sql(t)
-    return (f"(CASE WHEN {lv} >= 0 THEN {x} + {fx} * {w} END)",
-            f"(CASE WHEN {lv} >= 0 THEN {y} + {fy} * {h} END)")
+    """x, y of an anchor of tile ``t``, null where the name is malformed."""
+    x = f"{_f(GRID_X)} + TRY_CAST(substr({t}, 2, 1) AS DOUBLE) * {GRID_WIDTHS[0]}"
+    y = f"{_f(GRID_Y)} + (instr('{GRID_ROWS}', substr({t}, 1, 1)) - 1) * {GRID_HEIGHTS[0]}::DOUBLE"
+    for at, codes, width, height, half in GRID_STEPS:
+        code = f"(strpos('{codes}', substr({t}, {at + 1}, 1)) - 1)"
+        own = f"length({t}) > {at} AND {code} >= 0"
+        x += f" + CASE WHEN {own} THEN ({code} // 2) * {width}::DOUBLE WHEN substr({t}, {at + 1}, 1) = 'R' THEN {GRID_WIDTHS[half]}::DOUBLE ELSE 0::DOUBLE END"
+        y += f" + CASE WHEN {own} THEN ({code} % 2) * {height}::DOUBLE ELSE 0::DOUBLE END"
+    (fx, fy), (w, h), lv = GRID_ANCHORS[anchor], size_sql(t), level_sql(t)
+    return f"(CASE WHEN {lv} >= 0 THEN {x} + {fx} * {w} END)", f"(CASE WHEN {lv} >= 0 THEN {y} + {fy} * {h} END)"
 
 
 def latlon_sql(x: str, y: str) -> tuple[str, str]:
@@ -190,6 +189,140 @@ def xy_sql(lat: str, lon: str) -> tuple[str, str]:
     return f"(500000.0 + {METRES!r} * ({eta}))", f"({METRES!r} * ({xi}))"
 
 
+def line_places_cte(seed: int, k: int) -> str:
+    """``seeds``: the first k places made from lines' keys, in md5 order."""
+    return f"""places AS (
+  SELECT id, (id * 7919 % 100003) / 100003.0::DOUBLE AS f1, (id * 104729 % 100019) / 100019.0::DOUBLE AS f2,
+         (id * 31 % 2003) / 1001.5::DOUBLE - 1.0 AS f3, (id * 17 % 1999) / 999.5::DOUBLE - 1.0 AS f4
+  FROM (SELECT DISTINCT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id FROM lineitem)),
+seeds AS (SELECT row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':{seed}'), id) - 1 AS idx, id, f1, f2, f3, f4
+          FROM places ORDER BY md5(CAST(id AS VARCHAR) || ':{seed}'), id LIMIT {k})"""
+
+
+def types_sql() -> str:
+    """Report of the 102 columns; only four of them hold anything."""
+    def held(at, name, kind, text):
+        return (f"SELECT {at} AS position, '{name}' AS name, '{kind}' AS type, count(*) AS n_rows, "
+                f"count(*) FILTER ({text} = '') AS n_null, CAST(max(length({text})) AS INTEGER) AS width FROM points")
+
+    known = {
+        "Onnett_id": ("integer", "CAST(id AS VARCHAR)"), "Vkpv": ("string", "trim(Vkpv)"),
+        "X": ("double", "(CASE WHEN X IS NULL THEN '' WHEN isnan(X) THEN 'NaN' ELSE CAST(CAST(X AS BIGINT) AS VARCHAR) END)"),
+        "Y": ("integer", "coalesce(CAST(CAST(Y AS BIGINT) AS VARCHAR), '')")}
+    parts = [held(i, n, *known[n]) if n in known else
+             f"SELECT {i}, '{n}', 'null', count(*), count(*), 0 FROM points" for i, (n, _) in enumerate(ACCIDENT_FIELDS)]
+    return " UNION ALL ".join(parts)
+
+
+def described_sql() -> str:
+    return f"""WITH accident AS (SELECT o_orderkey AS a FROM orders WHERE o_orderkey % {FX.NO_ACCIDENT_EVERY} <> 0),
+party0 AS (SELECT l_orderkey AS a, CASE WHEN l_partkey % {FX.NO_KEY_EVERY} <> 0 THEN l_linenumber END AS o FROM lineitem
+           WHERE (l_orderkey + l_linenumber) % {FX.NO_PARTY_EVERY} <> 0),
+party AS (SELECT * FROM party0 UNION ALL SELECT * FROM party0 WHERE a % {FX.TWICE_EVERY} = 0),
+person AS (SELECT l_orderkey AS a, l_linenumber AS o, l_orderkey * 8 + l_linenumber AS h FROM lineitem)
+SELECT 'accident' AS "table", (SELECT count(*) FROM accident) AS n_rows, CAST(0 AS BIGINT) AS n_broken,
+       (SELECT count(a) - count(DISTINCT a) FROM accident) AS n_repeated, CAST(0 AS BIGINT) AS n_orphans
+UNION ALL
+SELECT 'party', (SELECT count(*) FROM party), (SELECT count(*) FROM party WHERE o IS NULL),
+       (SELECT count(*) - count(DISTINCT (a, o)) FROM party WHERE o IS NOT NULL),
+       (SELECT count(*) FROM party WHERE a NOT IN (SELECT a FROM accident))
+UNION ALL
+SELECT 'person', (SELECT count(*) FROM person), 0, (SELECT count(*) - count(DISTINCT (a, o, h)) FROM person),
+       (SELECT count(*) FROM person WHERE a NOT IN (SELECT a FROM accident))
+       + (SELECT count(*) FROM person p WHERE NOT EXISTS (SELECT 1 FROM party q WHERE q.a = p.a AND q.o = p.o))"""
+
+
+# Ellipsoid, meridian, scale and false easting of the grids, and
+# the old datum's shift to WGS 84.
+OLD_ELLIPSOID, OLD_SHIFT = (6378388.0, 297.0), (-96.062, -82.428, -121.753, 4.801, 0.345, -1.376, 1.496)
+GRID_ROWS_SQL = {
+    2391: (*OLD_ELLIPSOID, 21.0, 1.0, 1500000.0, True), 2392: (*OLD_ELLIPSOID, 24.0, 1.0, 2500000.0, True),
+    2393: (*OLD_ELLIPSOID, 27.0, 1.0, 3500000.0, True), 2394: (*OLD_ELLIPSOID, 30.0, 1.0, 4500000.0, True),
+    32634: (6378137.0, 298.257223563, 21.0, 0.9996, 500000.0, False), 32635: (6378137.0, 298.257223563, 27.0, 0.9996, 500000.0, False),
+    32636: (6378137.0, 298.257223563, 33.0, 0.9996, 500000.0, False)}
+
+
+def _rotation() -> tuple[list[float], list[list[float]]]:
+    """The old datum's shift as offsets and a matrix of numbers."""
+    x, y, z = (r / 3600.0 * math.pi / 180.0 for r in OLD_SHIFT[3:6])
+    s = 1.0 + OLD_SHIFT[6] / 1e6
+    return list(OLD_SHIFT[:3]), [[s, -s * z, s * y], [s * z, s, -s * x], [-s * y, s * x, s]]
+
+
+def _solved(m: list[list[float]], v: list[str]) -> list[str]:
+    """SQL of the solution of m * u = v by Cramer's rule."""
+    def det(a):
+        return (a[0][0] * (a[1][1] * a[2][2] - a[1][2] * a[2][1]) - a[0][1] * (a[1][0] * a[2][2] - a[1][2] * a[2][0])
+                + a[0][2] * (a[1][0] * a[2][1] - a[1][1] * a[2][0]))
+
+    whole = det(m)
+    out = []
+    for k in range(3):
+        terms = []
+        for i in range(3):
+            unit = [[1.0 if r == i else 0.0] for r in range(3)]
+            terms.append(f"{_f(det([[unit[r][0] if c == k else m[r][c] for c in range(3)] for r in range(3)]) / whole)} * ({v[i]})")
+        out.append("(" + " + ".join(terms) + ")")
+    return out
+
+
+def _geographic(x: str, y: str, z: str, a: float, inv_f: float) -> tuple[str, str]:
+    """Latitude and longitude (radians) of a geocentric point near the ground,
+    by repeated substitution."""
+    e2 = 2 / inv_f - 1 / inv_f**2
+    p = f"sqrt({x} * {x} + {y} * {y})"
+    lat = f"atan2({z}, {p} * {1 - e2!r})"
+    for _ in range(5):
+        lat = f"atan2({z} + {e2 * a!r} * sin({lat}) / sqrt(1.0 - {e2!r} * sin({lat}) * sin({lat})), {p})"
+    return lat, f"atan2({y}, {x})"
+
+
+def grids_sql(codes) -> str:
+    """Grid points in other grids: the forward series with the grids' numbers
+    as columns, on latitudes and longitudes of each grid's datum."""
+    lat, lon = latlon_sql("X", "Y")
+    e2 = 2 / 298.257222101 - 1 / 298.257222101**2
+    move, turn = _rotation()
+    old = _solved(turn, [f"g{c} - {_f(m)}" for c, m in zip("xyz", move)])
+    olat, olon = _geographic("ox", "oy", "oz", *OLD_ELLIPSOID)
+    rows = ", ".join(f"({c}, {', '.join(_f(v) for v in GRID_ROWS_SQL[c][:5])}, {str(GRID_ROWS_SQL[c][5]).lower()})" for c in codes)
+    series = ("(n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180)", "(13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440)",
+              "(61 * n**3 / 240 - 103 * n**4 / 140)", "(49561 * n**4 / 161280)")
+    xi = "xp" + "".join(f" + {h} * sin({2 * j}.0 * xp) * cosh({2 * j}.0 * ep)" for j, h in enumerate(series, 1))
+    eta = "ep" + "".join(f" + {h} * cos({2 * j}.0 * xp) * sinh({2 * j}.0 * ep)" for j, h in enumerate(series, 1))
+    return f"""grids(epsg, a, f, mer, k0, fe, old) AS (VALUES {rows}),
+geo AS (SELECT id, radians({lat}) AS p, radians({lon}) AS l FROM clean2),
+air AS (SELECT *, 6378137.0 / sqrt(1.0 - {e2!r} * sin(p) * sin(p)) AS r FROM geo),
+xyz AS (SELECT id, p, l, r * cos(p) * cos(l) AS gx, r * cos(p) * sin(l) AS gy, {1 - e2!r} * r * sin(p) AS gz FROM air),
+past AS (SELECT id, p, l, {old[0]} AS ox, {old[1]} AS oy, {old[2]} AS oz FROM xyz),
+both_ AS (SELECT id, p, l, {olat} AS op, {olon} AS ol FROM past),
+met AS (SELECT b.id, g.*, CASE WHEN g.old THEN op ELSE p END AS lat, (CASE WHEN g.old THEN ol ELSE l END) - radians(g.mer) AS d,
+               1.0 / (2.0 * g.f - 1.0) AS n, sqrt(2.0 / g.f - 1.0 / (g.f * g.f)) AS e FROM both_ b, grids g),
+conf AS (SELECT *, sinh(atanh(sin(lat)) - e * atanh(e * sin(lat))) AS t FROM met),
+sph AS (SELECT *, atan2(t, cos(d)) AS xp, atanh(sin(d) / sqrt(1.0 + t * t)) AS ep FROM conf),
+done AS (SELECT id, epsg, k0 * a / (1.0 + n) * (1.0 + n**2 / 4 + n**4 / 64) AS k, fe, {xi} AS xi, {eta} AS eta FROM sph)
+SELECT id, CAST(epsg AS INTEGER) AS epsg, round(fe + k * eta, 3) AS easting, round(k * xi, 3) AS northing, true AS back_within_mm FROM done"""
+
+
+def datums_sql(tile: str) -> str:
+    """Points of the old datum in WGS 84, and the tile they are in."""
+    a, inv_f = OLD_ELLIPSOID
+    e2 = 2 / inv_f - 1 / inv_f**2
+    move, turn = _rotation()
+    new = [f"({_f(move[i])} + " + " + ".join(f"{_f(turn[i][j])} * g{c}" for j, c in enumerate("xyz")) + ")" for i in range(3)]
+    wlat, wlon = _geographic("wx", "wy", "wz", 6378137.0, 298.257223563)
+    glat, glon = _geographic("wx", "wy", "wz", 6378137.0, 298.257222101)
+    gx, gy = xy_sql("glat", "glon")
+    return f"""WITH places AS (SELECT event_id AS id, radians(60.0::DOUBLE + (event_id * 7919) % 990000 / 100000.0::DOUBLE) AS p,
+               radians(20.0::DOUBLE + (event_id * 104729) % 1150000 / 100000.0::DOUBLE) AS l FROM events),
+air AS (SELECT *, {a} / sqrt(1.0 - {e2!r} * sin(p) * sin(p)) AS r FROM places),
+xyz AS (SELECT id, r * cos(p) * cos(l) AS gx, r * cos(p) * sin(l) AS gy, {1 - e2!r} * r * sin(p) AS gz FROM air),
+now AS (SELECT id, {new[0]} AS wx, {new[1]} AS wy, {new[2]} AS wz FROM xyz),
+ll AS (SELECT id, degrees({wlat}) AS lat, degrees({wlon}) AS lon, degrees({glat}) AS glat, degrees({glon}) AS glon FROM now),
+grid AS (SELECT id, lat, lon, {gx} AS X, {gy} AS Y FROM ll)
+SELECT id, round(lat, 7) AS lat, round(lon, 7) AS lon, {tile} AS tile FROM grid"""
+
+
 def lloyd_recursive_cte(models: list[int], seed: int, tol: float, max_iter: int) -> str:
     """State of every pass of every model (one Lloyd run per k), as a
     recursive CTE named ``state``; relies on ``pts(id, f1..f4)``.
@@ -204,7 +337,7 @@ def lloyd_recursive_cte(models: list[int], seed: int, tol: float, max_iter: int)
     sse = " + ".join(f"var_pop(f{i}) * count(*)" for i in range(1, 5))
     mv = " + ".join(f"(coalesce(u.f{i}, c.f{i}) - c.f{i}) * (coalesce(u.f{i}, c.f{i}) - c.f{i})" for i in range(1, 5))
     means = ", ".join(
-        f"CAST(sum(CAST(floor(f{i} * 1e12 + 0.5) AS HUGEINT)) AS DOUBLE) / count(*) / 1e12 AS f{i}" for i in range(1, 5))
+        f"CAST(sum(CAST(round_even(f{i} * {2.0**60!r}, 0) AS HUGEINT)) AS DOUBLE) / count(*) / {2.0**60!r} AS f{i}" for i in range(1, 5))
     return f"""models(k) AS (VALUES {mods}),
 ordered AS (SELECT row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':{seed}'), id) - 1 AS idx, f1, f2, f3, f4
             FROM pts ORDER BY md5(CAST(id AS VARCHAR) || ':{seed}'), id LIMIT {kmax}),

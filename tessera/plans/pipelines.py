@@ -18,7 +18,7 @@ from tessera.operators.clean import complete_rows
 from tessera.operators.elbow import DEFAULT_KS, elbow_kmeans, elbow_lloyd
 from tessera.operators.kmeans_ml import assemble, fit_facts, fit_kmeans, member_centroids
 from tessera.operators.materialize import for_reuse, release
-from tessera.operators.lloyd import LloydResult, assign, lloyd
+from tessera.operators.lloyd import LloydResult, lloyd
 from tessera.operators.scale import MinMax, fit_minmax, scale
 from tessera.operators.weekday import attach_weekday
 from tessera.sources.local import literal_table
@@ -127,7 +127,7 @@ class LloydRun:
     def labelled_points(self) -> DataFrame:
         """id, Cluster, X, Y (original units), Day — assignment of the last pass."""
         p = self.prepared
-        lab = assign(p.df, p.features, self.result.assigned_with, "Cluster")
+        lab = self.result.label(p.df, p.features, "Cluster")
         return lab.select("id", "Cluster", "X", "Y", decode_day("dow_x", "dow_y").alias("Day"))
 
 

@@ -60,15 +60,19 @@ def parse_accident_lines(lines: DataFrame, value_col: str = "value",
     day_pos = schemas.position_of("Vkpv") if day_pos is None else day_pos
     header_first = schemas.ACCIDENT_FIELDS[0][0]
     keep = [c for c in lines.columns if c != value_col]
-    split = lines.select(*keep, F.split(F.col(value_col), _regex_literal(sep), -1).alias("_f"))
-    body = split.filter(F.coalesce(_field(F.col("_f"), 0) != F.lit(header_first), F.lit(True)))
-    extra = [] if id_pos is None else [_field(F.col("_f"), id_pos).try_cast("bigint").alias("id")]
-    return body.select(
-        *keep, *extra,
-        _field(F.col("_f"), x_pos).try_cast("double").alias("X"),
-        _field(F.col("_f"), y_pos).try_cast("double").alias("Y"),
-        _field(F.col("_f"), day_pos).alias("Vkpv"),
-    )
+
+    def body(f: Column) -> Column:
+        return F.coalesce(_field(f, 0) != F.lit(header_first), F.lit(True))
+
+    def record(f: Column) -> Column:
+        extra = [] if id_pos is None else [_field(f, id_pos).try_cast("bigint").alias("id")]
+        return F.struct(*extra, _field(f, x_pos).try_cast("double").alias("X"),
+                        _field(f, y_pos).try_cast("double").alias("Y"), _field(f, day_pos).alias("Vkpv"))
+
+    # one element of one line: a generator is evaluated once a row, and no
+    # later filter or column is moved below it
+    split = F.array(F.split(F.col(value_col), _regex_literal(sep), -1))
+    return lines.select(*keep, F.inline(F.transform(F.filter(split, body), record)))
 
 
 def read_accident_lines(spark: SparkSession, path: str, encoding: str = "UTF-8",

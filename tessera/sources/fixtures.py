@@ -111,3 +111,29 @@ def coordinate_lines(spark: SparkSession, sf_dir: str, parts: int = 4) -> DataFr
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("rank", T.IntegerType()), T.StructField("value", T.StringType())])
     heads = literal_table(spark, [(k, 0, "X , Y, label") for k in range(parts)], schema)
     return heads.unionByName(body).repartition(parts, "part").sortWithinPartitions("rank").select("value")
+
+
+# Shares of the described tables' rows that break a rule.
+NO_ACCIDENT_EVERY, NO_PARTY_EVERY, TWICE_EVERY, NO_KEY_EVERY = 97, 53, 211, 199
+
+
+def described_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The accident, party and person tables, whole in their columns: orders
+    are accidents, their lines parties with a person each. Some accidents and
+    parties are missing, some parties are there twice or lack their number."""
+    from tessera.sources.schemas import ACCIDENT_SCHEMA, PARTY_SCHEMA, PERSON_SCHEMA
+
+    def shaped(df: DataFrame, schema: T.StructType, **filled) -> DataFrame:
+        return df.select(*[filled.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    party = lines.where((order + line) % NO_PARTY_EVERY != 0)
+    party = party.unionByName(party.where(order % TWICE_EVERY == 0))
+    number = F.when(F.col("l_partkey") % NO_KEY_EVERY != 0, line)
+    return {
+        "accident": shaped(orders.where(F.col("o_orderkey") % NO_ACCIDENT_EVERY != 0), ACCIDENT_SCHEMA,
+                           Onnett_id=F.col("o_orderkey"), Vuosi=F.year("o_orderdate")),
+        "party": shaped(party, PARTY_SCHEMA, Onnett_id=order, Osall_id=number, Osnro=line),
+        "person": shaped(lines, PERSON_SCHEMA, Onnett_id=order, Osall_id=line, Henkilo_id=order * 8 + line),
+    }

@@ -6,59 +6,57 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Column names and descriptor types of the accident table, in
-# file order ("i" integer, "s" string; "any"/"geopoint" fields read as strings).
+INTEGER, STRING, DOUBLE = T.IntegerType(), T.StringType(), T.DoubleType()
+
+# Column names and types of the accident table, in file order.
+# Fields of no set type are text.
 ACCIDENT_FIELDS = (
-    ("Onnett_id", "i"), ("Tienpit", "i"), ("Tienpitsel", "s"), ("Tie", "i"), ("Aosa", "i"),
-    ("Aet", "i"), ("Ajr", "i"), ("Vuosi", "i"), ("Kk", "i"), ("Päivä", "s"),
-    ("Kuolleet", "i"), ("Loukkaant", "i"), ("Vakavuusko", "i"), ("Vakavuus", "s"), ("ELY", "i"),
-    ("Elynimi", "s"), ("Poliisipri", "i"), ("Piirinimi", "s"), ("Tunti", "i"), ("Vkpv", "s"),
-    ("Ontyyppi", "i"), ("Ontyypsel", "s"), ("Onluokka", "i"), ("Onlksel", "s"), ("Osallkm", "i"),
-    ("Nopraj", "i"), ("Taajmerk", "i"), ("Taajamasel", "s"), ("Pinta", "i"), ("Pintasel", "s"),
-    ("Valoisuus", "i"), ("Valsel", "s"), ("Sää", "i"), ("Sääsel", "s"), ("Onnpaikka", "i"),
-    ("Onnpaiksel", "s"), ("Liikvalot", "i"), ("Liikvalsel", "s"), ("Liittyvtie", "s"), ("Maakunta", "i"),
-    ("Maakuntsel", "s"), ("Kunta", "i"), ("Kuntasel", "s"), ("Noplaji", "i"), ("Noplajisel", "s"),
-    ("Nopsuunvas", "i"), ("Nopsuunoik", "i"), ("Taajama", "s"), ("Mo_mol", "i"), ("Mo_molsel", "s"),
-    ("Toimluokka", "i"), ("Toimlksel", "s"), ("Kvl", "i"), ("Raskaskvl", "i"), ("Tienlev", "i"),
-    ("X", "i"), ("Y", "i"), ("Oslakpvm", "s"), ("Tietyö", "s"), ("Päällyste", "i"),
-    ("Päällsel", "s"), ("Lämpötila", "i"), ("Risteys", "i"), ("Risteyssel", "s"), ("Rautatie", "i"),
-    ("Rautatsel", "s"), ("Muuliit", "i"), ("Muuliitsel", "s"), ("Katuosoite", "s"), ("Tietyyppi", "i"),
-    ("Tietyypsel", "s"), ("Talvhoitlk", "i"), ("Talvhoitsel", "s"), ("Tienverkas", "i"), ("Tienverkse", "s"),
-    ("Maankäyttö", "i"), ("Maankäytse", "s"), ("Valoohjaus", "i"), ("Valoohjsel", "s"), ("Lisäkaisty", "i"),
-    ("Lisäkaisse", "s"), ("Solmutyyp", "i"), ("Solmutyyps", "s"), ("Liitluok", "i"), ("Liitlksel", "s"),
-    ("Lähliittie", "i"), ("Suuntlkm", "i"), ("Toimenpide", "i"), ("Toimpidsel", "s"), ("Luovpvm", "s"),
-    ("Valaisomis", "i"), ("Valomsel", "s"), ("Poikkileik", "i"), ("Poikleikse", "s"), ("Päällyslev", "i"),
-    ("Päällystlk", "i"), ("Päällksel", "s"), ("Nakos150", "i"), ("Nakos300", "i"), ("Nakos460", "i"),
-    ("Runkotie", "i"), ("Raskos", "s"),
+    ("Onnett_id", INTEGER), ("Tienpit", INTEGER), ("Tienpitsel", STRING), ("Tie", INTEGER), ("Aosa", INTEGER), ("Aet", INTEGER),
+    ("Ajr", INTEGER), ("Vuosi", INTEGER), ("Kk", INTEGER), ("Päivä", STRING), ("Kuolleet", INTEGER), ("Loukkaant", INTEGER),
+    ("Vakavuusko", INTEGER), ("Vakavuus", STRING), ("ELY", INTEGER), ("Elynimi", STRING), ("Poliisipri", INTEGER),
+    ("Piirinimi", STRING), ("Tunti", INTEGER), ("Vkpv", STRING), ("Ontyyppi", INTEGER), ("Ontyypsel", STRING),
+    ("Onluokka", INTEGER), ("Onlksel", STRING), ("Osallkm", INTEGER), ("Nopraj", INTEGER), ("Taajmerk", INTEGER),
+    ("Taajamasel", STRING), ("Pinta", INTEGER), ("Pintasel", STRING), ("Valoisuus", INTEGER), ("Valsel", STRING),
+    ("Sää", INTEGER), ("Sääsel", STRING), ("Onnpaikka", INTEGER), ("Onnpaiksel", STRING), ("Liikvalot", INTEGER),
+    ("Liikvalsel", STRING), ("Liittyvtie", STRING), ("Maakunta", INTEGER), ("Maakuntsel", STRING), ("Kunta", INTEGER),
+    ("Kuntasel", STRING), ("Noplaji", INTEGER), ("Noplajisel", STRING), ("Nopsuunvas", INTEGER), ("Nopsuunoik", INTEGER),
+    ("Taajama", STRING), ("Mo_mol", INTEGER), ("Mo_molsel", STRING), ("Toimluokka", INTEGER), ("Toimlksel", STRING),
+    ("Kvl", INTEGER), ("Raskaskvl", INTEGER), ("Tienlev", INTEGER), ("X", INTEGER), ("Y", INTEGER), ("Oslakpvm", STRING),
+    ("Tietyö", STRING), ("Päällyste", INTEGER), ("Päällsel", STRING), ("Lämpötila", INTEGER), ("Risteys", INTEGER),
+    ("Risteyssel", STRING), ("Rautatie", INTEGER), ("Rautatsel", STRING), ("Muuliit", INTEGER), ("Muuliitsel", STRING),
+    ("Katuosoite", STRING), ("Tietyyppi", INTEGER), ("Tietyypsel", STRING), ("Talvhoitlk", INTEGER), ("Talvhoitsel", STRING),
+    ("Tienverkas", INTEGER), ("Tienverkse", STRING), ("Maankäyttö", INTEGER), ("Maankäytse", STRING), ("Valoohjaus", INTEGER),
+    ("Valoohjsel", STRING), ("Lisäkaisty", INTEGER), ("Lisäkaisse", STRING), ("Solmutyyp", INTEGER), ("Solmutyyps", STRING),
+    ("Liitluok", INTEGER), ("Liitlksel", STRING), ("Lähliittie", INTEGER), ("Suuntlkm", INTEGER), ("Toimenpide", INTEGER),
+    ("Toimpidsel", STRING), ("Luovpvm", STRING), ("Valaisomis", INTEGER), ("Valomsel", STRING), ("Poikkileik", INTEGER),
+    ("Poikleikse", STRING), ("Päällyslev", INTEGER), ("Päällystlk", INTEGER), ("Päällksel", STRING), ("Nakos150", INTEGER),
+    ("Nakos300", INTEGER), ("Nakos460", INTEGER), ("Runkotie", INTEGER), ("Raskos", STRING),
 )
 
 # The person table.
 PERSON_FIELDS = (
-    ("Onnett_id", "i"), ("Osall_id", "i"), ("Henkilo_id", "i"), ("Osnro", "i"), ("Kulj_matk", "s"),
-    ("Ikä", "i"), ("Sukupuoli", "s"), ("Kortti", "s"), ("Seuraus", "s"), ("Seuraussel", "s"),
-    ("Kulj_kans", "s"), ("Ajokortlk", "s"), ("Ajokortikä", "i"),
+    ("Onnett_id", INTEGER), ("Osall_id", INTEGER), ("Henkilo_id", INTEGER), ("Osnro", INTEGER), ("Kulj_matk", STRING),
+    ("Ikä", INTEGER), ("Sukupuoli", STRING), ("Kortti", STRING), ("Seuraus", STRING), ("Seuraussel", STRING),
+    ("Kulj_kans", STRING), ("Ajokortlk", STRING), ("Ajokortikä", INTEGER),
 )
 
 # The party (vehicle / road user) table.
 PARTY_FIELDS = (
-    ("Onnett_id", "i"), ("Osall_id", "i"), ("Osnro", "i"), ("Oslaji", "i"), ("Oslajisel", "s"),
-    ("Peräv", "i"), ("Perävsel", "s"), ("Ajolaji", "i"), ("Ajolajisel", "s"), ("Kuollut", "i"),
-    ("Loukk", "i"), ("Ajoneuvika", "i"), ("Ajoneuvmas", "i"),
+    ("Onnett_id", INTEGER), ("Osall_id", INTEGER), ("Osnro", INTEGER), ("Oslaji", INTEGER), ("Oslajisel", STRING),
+    ("Peräv", INTEGER), ("Perävsel", STRING), ("Ajolaji", INTEGER), ("Ajolajisel", STRING), ("Kuollut", INTEGER),
+    ("Loukk", INTEGER), ("Ajoneuvika", INTEGER), ("Ajoneuvmas", INTEGER),
 )
 
 DELIMITER = ";"
 
-_TYPES = {"i": T.IntegerType(), "s": T.StringType(), "d": T.DoubleType()}
-
 
-def struct_of(fields, overrides: dict[str, str] | None = None) -> T.StructType:
-    """StructType for a field list; ``overrides`` maps a name to "i"/"s"/"d"."""
-    overrides = overrides or {}
-    return T.StructType([T.StructField(n, _TYPES[overrides.get(n, t)], True) for n, t in fields])
+def struct_of(fields, overrides: dict[str, T.DataType] | None = None) -> T.StructType:
+    """StructType for a field list; ``overrides`` maps names to other types."""
+    return T.StructType([T.StructField(n, (overrides or {}).get(n, t), True) for n, t in fields])
 
 
 # Coordinates are read as doubles so fractional grid values never fail a cast.
-ACCIDENT_SCHEMA = struct_of(ACCIDENT_FIELDS, {"X": "d", "Y": "d"})
+ACCIDENT_SCHEMA = struct_of(ACCIDENT_FIELDS, {"X": DOUBLE, "Y": DOUBLE})
 PERSON_SCHEMA = struct_of(PERSON_FIELDS)
 PARTY_SCHEMA = struct_of(PARTY_FIELDS)
 
