@@ -12,9 +12,11 @@ corpus are several times its size, so they are not grouped:
    never below the true count, so no repeated window is lost.
 3. Only those windows are grouped, exactly, by 128-bit names (two independent
    64-bit hashes of the words). Each Arrow batch sends a name once.
-4. The places of those windows are joined with the names that occur twice;
-   of equal texts a batch sends one. Names that repeat within a batch are
-   known there and need no join.
+4. The places of those windows are joined with the names that occur twice.
+   Names that repeat within a batch are known there and need no join.
+
+Of equal texts one takes part, as one that occurs twice; these lose all their
+words anyway.
 
 The sketch has some two to four cells a window in each row, at most ``MOST``
 cells in all: one bit each (64 MB) is what the driver gathers and broadcasts,
@@ -30,16 +32,15 @@ null ids are returned; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
-from itertools import chain
 
 import numpy as np
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import words as w
 from tessera.llm.common import map_batches, small_side
+from tessera.llm.words import Words, cut
 from tessera.session import Scratch
 
 WINDOW = 35
@@ -48,42 +49,12 @@ CELLS = 1 << 20  # cells of a block
 MOST = 1 << 29  # cells of the sketch
 LEAST = 1 << 22
 BYTES_A_WORD = 6
-SLICE = 4 << 20  # bytes of text worked on at a time
+SLICE = 2 << 20  # bytes of rows held as Python values at a time
 HELD = 1 << 22  # windows a task sketches before it sends their cells
-MEMO = 100_000  # words whose hashes a worker keeps
 SMALL_ROWS = 1_000_000  # names or spans that may be broadcast (some 24 MB)
-BLANK = re.compile(rb"[\x20\x09-\x0D]")
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-class Words:
-    """Two 64-bit codes a word; ``memo`` keeps those of words seen before."""
-
-    def __init__(self):
-        self.memo: dict[bytes, int] = {}
-        self.table = np.zeros((MEMO + (SLICE >> 1), 2), np.uint64)
-
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.memo]
-        if new:
-            at, both = len(self.memo), b"".join(map(xxhash.xxh3_128_digest, new))
-            self.memo.update(zip(new, range(at, at + len(new))))
-            self.table[at : at + len(new)] = np.frombuffer(both, np.uint64).reshape(-1, 2)
-        return self.table[np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))]
-
-
-def split(data: bytes):
-    """The words of a text, a list for every SLICE bytes or so."""
-    at = 0
-    while at < len(data):
-        end = BLANK.search(data, at + SLICE) if len(data) - at > SLICE else None
-        end = end.start() if end else len(data)
-        yield data[at:end].split()
-        at = end
-
-
 def joined(x: np.ndarray, y: np.ndarray, factor: int) -> np.ndarray:
     out = x * np.uint64(factor) + y
     out ^= out >> np.uint64(32)
@@ -108,37 +79,41 @@ FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def windows(texts: list, words: Words, lanes: int = 2):
-    """(text number, first word, names...) of all windows of ``texts``, long
-    texts and groups of short ones at a time."""
-    parts: list[np.ndarray] = []
-    ends: list[tuple[int, int]] = []  # text number, its words
-
-    def found():
-        codes = np.concatenate(parts)
-        size = np.array([n for _, n in ends])
-        first = np.cumsum(size) - size
-        which = np.repeat(np.arange(len(ends)), size)
-        pos = np.arange(len(codes)) - first[which]
-        inside = np.flatnonzero((pos + WINDOW <= size[which])[: len(codes) - WINDOW + 1])
-        names = [window_names(np.ascontiguousarray(codes[:, k]), FACTORS[k])[inside] for k in range(lanes)]
-        return np.array([t for t, _ in ends])[which[inside]], pos[inside], *names
-
-    held = 0
+    """(text number, first word, names...) of all windows of ``texts``: short
+    texts by the group, long ones alone."""
+
+    def found(numbers: list[int], sizes: np.ndarray, codes: np.ndarray):
+        first = np.cumsum(sizes) - sizes
+        which = np.repeat(np.arange(len(sizes)), sizes)
+        pos = np.arange(codes.shape[1]) - first[which]
+        inside = np.flatnonzero((pos + WINDOW <= sizes[which])[: codes.shape[1] - WINDOW + 1])
+        names = [window_names(codes[k], FACTORS[k])[inside] for k in range(lanes)]
+        return np.array(numbers, np.int64)[which[inside]], pos[inside], *names
+
+    def group(held: list[tuple[int, bytes]]):
+        start, codes = words.codes(b"\n".join(data for _, data in held), lanes)
+        offset = np.cumsum([0] + [len(data) + 1 for _, data in held])
+        sizes = np.diff(np.searchsorted(start, offset))
+        if codes.shape[1] >= WINDOW:
+            yield found([t for t, _ in held], sizes, codes)
+
+    held, size = [], 0
     for t, text in enumerate(texts):
-        if not text:
+        if not text or len(text) < 2 * WINDOW - 1:
             continue
-        own = [words.codes(x) for x in split(text.encode())]
-        n = sum(map(len, own))
-        if n < WINDOW:
+        data = text.encode()
+        if len(data) > w.PART:
+            codes = np.concatenate([words.codes(part, lanes)[1] for part in cut(data)], axis=1)
+            if codes.shape[1] >= WINDOW:
+                yield found([t], np.array([codes.shape[1]]), codes)
             continue
-        parts += own
-        ends.append((t, n))
-        held += n
-        if held > SLICE // 4:
-            yield found()
-            parts, ends, held = [], [], 0
-    if ends:
-        yield found()
+        if size + len(data) + 1 > w.PART:
+            yield from group(held)
+            held, size = [], 0
+        held.append((t, data))
+        size += len(data) + 1
+    if held:
+        yield from group(held)
 
 
 def cells_of(name: np.ndarray, row: int, width: int) -> np.ndarray:
@@ -245,9 +220,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def candidates(docs: DataFrame, model, width: int, places: bool) -> DataFrame:
     """The windows estimated repeated. Without ``places`` (h1, h2, n): each
-    batch sends a name once, with n = 2 if it holds the window twice. With
-    them (h1, h2, t1, t2, at, known): every place, known where the batch
-    itself shows that the window repeats."""
+    batch sends a name once, with n = 2 if it holds the window twice or in a
+    text that has a copy. With them (h1, h2, t1, t2, at, known): every place in
+    texts without copies, known where the batch itself shows that the window
+    repeats."""
 
     def find(batches):
         words, bits = Words(), model.value
@@ -262,19 +238,20 @@ def candidates(docs: DataFrame, model, width: int, places: bool) -> DataFrame:
                 new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
                 if not places:
                     times = np.diff(np.append(np.flatnonzero(new), len(a)))
+                    times += np.add.reduceat(np.array(batch.copy)[text[order]], np.flatnonzero(new), dtype=np.int64)
                     yield {"h1": _signed(a[new]), "h2": _signed(b[new]), "n": np.minimum(times, 2)}
                     continue
                 again = np.empty(len(a), bool)
                 again[order] = ~(new & np.append(new[1:], True))
-                names = {(batch.t1[t], batch.t2[t]): t for t in np.unique(text).tolist()}
+                names = {(batch.t1[t], batch.t2[t]): t for t in np.unique(text).tolist() if not batch.copy[t]}
                 own = np.isin(text, list(names.values()))  # one of the batch's equal texts
                 text, pos, h1, h2, again = text[own], pos[own], h1[own], h2[own], again[own]
                 t1, t2 = (np.array(x, np.int64) for x in (batch.t1, batch.t2))
                 yield {"h1": _signed(h1), "h2": _signed(h2), "t1": t1[text], "t2": t2[text], "at": pos, "known": again}
 
     if not places:
-        return map_batches(docs.select("text"), find, "h1 long, h2 long, n int", SLICE)
-    return map_batches(docs.select("text", "t1", "t2"), find, "h1 long, h2 long, t1 long, t2 long, at long, known boolean", SLICE)
+        return map_batches(docs.select("text", "copy"), find, "h1 long, h2 long, n int", SLICE)
+    return map_batches(docs.select("text", "copy", "t1", "t2"), find, "h1 long, h2 long, t1 long, t2 long, at long, known boolean", SLICE)
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -290,9 +267,23 @@ def merged(starts: np.ndarray) -> list[dict]:
     return [{"start": a, "end": b} for a, b in zip(starts[first].tolist(), (starts[last] + WINDOW).tolist())]
 
 
+def one_of_copies(texts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``texts`` with the column copy, less all but one (or those of one
+    doc_id) of equal texts, and the names (t1, t2) of texts that occur twice. Beyond
+    SMALL_ROWS such names all texts stay: the result is the same."""
+    groups = texts.where(F.octet_length("text") >= 2 * WINDOW - 1).groupBy("t1", "t2")
+    twice = groups.agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1").select("t1", "t2", "first")
+    twice = scratch.write(twice, "copies")
+    if twice.count() > SMALL_ROWS:
+        return texts.withColumn("copy", F.lit(False)), twice.limit(0)
+    joined_ = texts.join(F.broadcast(twice.withColumn("copy", F.lit(True))), ["t1", "t2"], "left")
+    one = joined_.where("copy IS NULL OR doc_id <=> first").withColumn("copy", F.col("copy").isNotNull())
+    return one.drop("first"), twice
+
+
 def repeated_spans(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(t1, t2, spans array<struct<start, end>>) of the texts that lose words,
-    as a written table; spans are of words."""
+    """(t1, t2, spans array<struct<start, end>>) of the texts of ``texts`` (with
+    copy) without copies that lose words, as a written table; spans are of words."""
     spark = texts.sparkSession
     width = sketch_width(texts)
     sketch = scratch.write(merged_sketch(partial_sketches(texts, width)), "sketch")
@@ -315,45 +306,51 @@ def repeated_spans(texts: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, text ("" for null) and the spans of words that go, if any."""
-    texts = named(docs)
-    spans = repeated_spans(texts, Scratch(docs.sparkSession))
+    """doc_id, text ("" for null), the spans of words that go, if any, and
+    whether the text occurs twice."""
+    texts, scratch = named(docs), Scratch(docs.sparkSession)
+    one, twice = one_of_copies(texts, scratch)
+    spans = repeated_spans(one, scratch)
     n = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    return texts.join(F.broadcast(spans) if n <= SMALL_ROWS else spans, ["t1", "t2"], "left").select("doc_id", "text", "spans")
+    both = texts.join(F.broadcast(spans) if n <= SMALL_ROWS else spans, ["t1", "t2"], "left")
+    both = both.join(F.broadcast(twice.select("t1", "t2", F.lit(True).alias("copy"))), ["t1", "t2"], "left")
+    return both.select("doc_id", "text", "spans", F.col("copy").isNotNull().alias("copy"))
 
 
-def kept_words(text: str, spans: list | None):
-    """Lists of a text's words that stay, in order, and last the counts of
-    all words and of those that go."""
+def kept_words(text: str, spans: list | None, copy: bool) -> tuple[list[bytes], int, int]:
+    """The parts of a text that stay, their words joined by one space, and the
+    counts of all words and of those that go."""
     at, gone, out = 0, 0, []
     spans = spans or []
-    for words in split(text.encode()):
-        keep, size = [], len(words)
+    for part in cut(text.encode()):
+        words = part.split()
         done = 0
         for span in spans:
-            a, b = min(max(span["start"] - at, 0), size), min(max(span["end"] - at, 0), size)
+            a, b = min(max(span["start"] - at, 0), len(words)), min(max(span["end"] - at, 0), len(words))
             if b > a:
-                keep += words[done:a]
+                out.append(b" ".join(words[done:a]))
                 gone += b - a
                 done = b
-        out.append(keep + words[done:] if done else words)
-        at += size
-    return out, at, gone
+        out.append(b" ".join(words[done:]))
+        at += len(words)
+    if copy and at >= WINDOW:
+        return [], at, at
+    return list(filter(None, out)), at, gone
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text (the words that stay, joined by one space), n_words,
     n_removed of every row."""
 
-    def cut(batches):
+    def cut_out(batches):
         for batch in batches:
             rows = []
-            for doc_id, text, spans in zip(batch.doc_id, batch.text, batch.spans):
-                kept, n, gone = kept_words(text, spans)
-                rows.append((doc_id, b" ".join(chain.from_iterable(kept)).decode(), n, gone))
+            for doc_id, text, spans, copy in zip(batch.doc_id, batch.text, batch.spans, batch.copy):
+                kept, n, gone = kept_words(text, spans, copy)
+                rows.append((doc_id, b" ".join(kept).decode(), n, gone))
             yield rows
 
-    return map_batches(with_spans(docs), cut, "doc_id long, text string, n_words long, n_removed long", SLICE)
+    return map_batches(with_spans(docs), cut_out, "doc_id long, text string, n_words long, n_removed long", SLICE)
 
 
 def dedup_windows(docs: DataFrame) -> DataFrame:
@@ -362,9 +359,9 @@ def dedup_windows(docs: DataFrame) -> DataFrame:
     def digest(batches):
         for batch in batches:
             rows = []
-            for doc_id, text, spans in zip(batch.doc_id, batch.text, batch.spans):
-                kept, n, gone = kept_words(text, spans)
-                rows.append((doc_id, n, gone, hashlib.sha256(b" ".join(chain.from_iterable(kept))).hexdigest()))
+            for doc_id, text, spans, copy in zip(batch.doc_id, batch.text, batch.spans, batch.copy):
+                kept, n, gone = kept_words(text, spans, copy)
+                rows.append((doc_id, n, gone, hashlib.sha256(b" ".join(kept)).hexdigest()))
             yield rows
 
     return map_batches(with_spans(docs), digest, RESULT, SLICE)

@@ -2,7 +2,9 @@ import hashlib
 import random
 from collections import Counter
 
-from tessera.llm import repeats
+from pyspark.sql import functions as F
+
+from tessera.llm import repeats, words as parts
 
 WINDOW = 35
 
@@ -54,6 +56,7 @@ def test_long_texts_and_full_sketches(spark, docs, monkeypatch):
     """Texts read in several slices, several sketches a task, and a sketch so
     full that nearly every window is estimated repeated."""
     monkeypatch.setattr(repeats, "SLICE", 4096)
+    monkeypatch.setattr(parts, "PART", 2048)
     monkeypatch.setattr(repeats, "HELD", 5000)
     monkeypatch.setattr(repeats, "CELLS", 1 << 10)
     monkeypatch.setattr(repeats, "LEAST", 1 << 11)
@@ -62,13 +65,27 @@ def test_long_texts_and_full_sketches(spark, docs, monkeypatch):
     assert check(docs.repartition(5)) > 0
 
 
-def test_memo_starts_anew(spark, docs, monkeypatch):
-    monkeypatch.setattr(repeats, "MEMO", 50)
-    check(docs)
+def test_long_words(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SLICE", 2000)
+    monkeypatch.setattr(parts, "PART", 2000)
+    rng = random.Random(5)
+    long = ["".join(rng.choice("01") for _ in range(n)) for n in (400, 600, 1999, 2000, 2001, 9000)]
+    plain = [f"v{rng.randrange(90)}" for _ in range(300)]
+    texts = [" ".join(plain[:100] + long + plain[100:]), " \n ".join(plain[90:100] + long + plain[100:130]), "  " + "\t".join(long * 20) + "  ",
+             " ".join(plain[90:100] + long[:-1] + [long[-1] + "1"] + plain[100:130]), long[-1]]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
+def test_many_copies_and_no_room_for_their_names(spark, docs, monkeypatch):
+    some = docs.limit(30)
+    many = some.unionByName(some).unionByName(some).unionByName(docs)
+    check(many.repartition(3))
+    monkeypatch.setattr(repeats, "SMALL_ROWS", 2)
+    check(many.repartition(3))
 
 
 def test_estimates_never_fall_below_counts(spark, docs):
-    texts = repeats.named(docs)
+    texts = repeats.named(docs).withColumn("copy", F.lit(False))
     width = repeats.sketch_width(texts)
     bits = repeats.gather(repeats.merged_sketch(repeats.partial_sketches(texts, width)), width)
     import numpy as np
