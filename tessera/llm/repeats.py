@@ -18,7 +18,7 @@ corpus are several times its size, so they are not grouped:
 Of equal texts one takes part, as one that occurs twice; these lose all their
 words anyway.
 
-The sketch has some two to four cells a window in each row, at most ``MOST``
+The sketch has some two cells a window in each row, at most ``MOST``
 cells in all: one bit each (64 MB) is what the driver gathers and broadcasts,
 whatever the corpus size. Beyond it the estimates get looser, so more windows
 are grouped; the result stays the same, and the cost stays linear with at
@@ -49,9 +49,10 @@ CELLS = 1 << 20  # cells of a block
 MOST = 1 << 29  # cells of the sketch
 LEAST = 1 << 22
 BYTES_A_WORD = 6
-SLICE = 2 << 20  # bytes of rows held as Python values at a time
-HELD = 1 << 22  # windows a task sketches before it sends their cells
-SMALL_ROWS = 1_000_000  # names or spans that may be broadcast (some 24 MB)
+SLICE = 1 << 20  # bytes of rows held as Python values at a time
+HELD = 1 << 20  # windows a task sketches before it sends their cells
+SMALL_ROWS = 1_000_000  # spans, or names of copies, that may be broadcast (some 24 MB)
+NAMES = 100_000  # names of repeated windows that may be broadcast (some 2 MB)
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -119,7 +120,7 @@ def windows(texts: list, words: Words, lanes: int = 2):
 def cells_of(name: np.ndarray, row: int, width: int) -> np.ndarray:
     """The windows' cells in a row: other bits of a mixed name for each."""
     mixed = name * np.uint64(FACTORS[row % 2] + 4 * row)
-    return (mixed >> np.uint64(20)) & np.uint64(width - 1)
+    return (mixed >> np.uint64(20)) % np.uint64(width)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -132,13 +133,11 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def sketch_width(docs: DataFrame) -> int:
-    """Cells of a row: a power of two that follows the corpus, up to the bound."""
+    """Cells of a row, in whole blocks: the same share of the corpus at any
+    size, up to the bound."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    want = 2 * size // BYTES_A_WORD
-    width = LEAST // ROWS
-    while width < want and ROWS * width < MOST:
-        width *= 2
-    return width
+    want = -(-2 * size // BYTES_A_WORD // CELLS) * CELLS
+    return min(MOST // ROWS, max(LEAST // ROWS, want))
 
 
 def partial_sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -291,7 +290,7 @@ def repeated_spans(texts: DataFrame, scratch: Scratch) -> DataFrame:
     found = candidates(texts, model, width, False).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
     repeated = scratch.write(found.where("n > 1").select("h1", "h2"), "repeated")
     places = candidates(texts, model, width, True)
-    alone = places.where("NOT known").join(small_side(repeated, SMALL_ROWS), ["h1", "h2"]).select("t1", "t2", "at")
+    alone = places.where("NOT known").join(small_side(repeated, NAMES), ["h1", "h2"]).select("t1", "t2", "at")
     hit = alone.unionByName(places.where("known").select("t1", "t2", "at")).distinct()
     listed = hit.groupBy("t1", "t2").agg(F.sort_array(F.collect_list("at")).alias("at"))
 

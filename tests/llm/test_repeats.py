@@ -62,6 +62,7 @@ def test_long_texts_and_full_sketches(spark, docs, monkeypatch):
     monkeypatch.setattr(repeats, "LEAST", 1 << 11)
     monkeypatch.setattr(repeats, "MOST", 1 << 12)
     monkeypatch.setattr(repeats, "SMALL_ROWS", 0)
+    monkeypatch.setattr(repeats, "NAMES", 0)
     assert check(docs.repartition(5)) > 0
 
 
