@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.distance import squared_distance
+from tessera.operators.bottom_k import bottom_k
 from tessera.operators.materialize import for_reuse, release
 from tessera.sources.local import literal_table
 
@@ -59,33 +60,24 @@ def seed_order(id_col: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
-def _seed_candidates(df: DataFrame, features: Sequence[str], k: int, seed: int, id_col: str) -> DataFrame:
-    """(_h, id, features) of the rows first in md5 order: those below the hash
-    that some 4 k rows are expected under, widened until k are there. What
-    reaches the merge is a few k rows, however many tasks there are."""
-    rows = df.select(seed_order(id_col, seed).alias("_h"), F.col(id_col), *features)
-    share = min(1.0, (4 * k + 64) / max(1, df.count()))
-    while share < 1.0:
-        some = rows.filter(F.col("_h") < f"{int(share * 16**12):012x}")
-        if some.count() >= k:
-            return some
-        share = min(1.0, 4 * share)
-    return rows
+def _seed_rows(df: DataFrame, features: Sequence[str], k: int, seed: int, id_col: str) -> DataFrame:
+    """(_h, id, features) of the k rows first in md5 order: one pass in which
+    every task keeps k rows."""
+    return bottom_k(df.select(seed_order(id_col, seed).alias("_h"), F.col(id_col), *features), ["_h", id_col], k)
 
 
 def sample_seeds(df: DataFrame, features: Sequence[str], k: int, seed: int = 0,
                  id_col: str = "id") -> DataFrame:
     """k rows without replacement in md5 order. ``idx`` 0..k-1 follows it."""
-    top = _seed_candidates(df, features, k, seed, id_col).orderBy("_h", id_col).limit(k)
     # the window sees only the k rows left after the limit
-    return top.select(
+    return _seed_rows(df, features, k, seed, id_col).select(
         (F.row_number().over(Window.orderBy("_h", id_col)) - 1).cast("int").alias("idx"),
         F.col(id_col), *features)
 
 
 def seed_centroids(df: DataFrame, features: Sequence[str], k: int, seed: int = 0,
                    id_col: str = "id") -> Centroids:
-    rows = _seed_candidates(df, features, k, seed, id_col).orderBy("_h", id_col).limit(k).collect()
+    rows = _seed_rows(df, features, k, seed, id_col).collect()
     return [tuple(float(r[f]) for f in features) for r in rows]
 
 

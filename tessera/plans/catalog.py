@@ -22,10 +22,11 @@ from tessera.operators.clean import complete_rows, reject_counts
 from tessera.operators.cost import cluster_sse, sum_distance_to_mean, total_sse
 from tessera.operators.elbow import DEFAULT_KS
 from tessera.operators.geocode import geocode, tile_of_latlon, to_latlon, to_xy
-from tessera.operators.kmeans_ml import member_centroids
+from tessera.operators.kmeans_ml import fit_facts, member_centroids
 from tessera.operators import centroid_index
 from tessera.operators.dedupe import seen_positions
 from tessera.operators.lloyd import assign, lloyd, sample_seeds, seed_centroids, update_stats
+from tessera.operators.kmeans_pipeline import differing_labels, fit_pipeline, learned_range, load_pipeline, save_pipeline, scaled_features, score
 from tessera.operators.lloyd_bounded import lloyd_bounded
 from tessera.operators.preview import preview
 from tessera.operators.scale import extremes, fit_minmax, scale, unscale
@@ -367,6 +368,39 @@ def q_kmeans_4d(spark, sf):
     return _kmeans_facts(spark, sf, 4)
 
 
+def q_kmeans_reloaded(spark, sf):
+    """A fitted pipeline saved and loaded: its labels of the raw points against
+    the fit's, and the extremes it learned."""
+    features, k = ["X", "Y", "dow_x", "dow_y"], KMEANS_K[4]
+    points = attach_weekday(_points(spark, sf)).select("id", *features)
+    fitted = fit_pipeline(points, features, k)
+    path = scratch_path(spark, "kmeans-model")
+    save_pipeline(fitted, path)
+    loaded = load_pipeline(path)
+    facts = fit_facts(loaded.stages[-1], scaled_features(loaded, points), [f"{f}_scaled" for f in features], k)
+    learned = learned_range(loaded)
+    return differing_labels(score(fitted, points), score(loaded, points)).select(
+        "*", F.lit(facts[2]).cast("bigint").alias("n_off_nearest"), F.lit(facts[3]).alias("within_k"),
+        *[F.lit(round(v, 9)).alias(f"{end}_{f}") for f in features for end, v in (("lo", learned.lo(f)), ("hi", learned.hi(f)))])
+
+
+def q_csv_geocoded_file(spark, sf):
+    """Geocoded centroids as one plain file, written twice over."""
+    path = scratch_path(spark, "csv-geocoded-file") + ".csv"
+    for _ in range(2):
+        write_geocoded(geocode(_labelled_centroids(spark, sf)), path, one_file=True)
+    back = _read_back(spark, path, "LONGITUDE double, LATITUDE double, LABEL string")
+    one = back.select("*", F.col("_metadata.file_name").alias("file"))
+    return one.select(_r("LONGITUDE", 7).alias("LONGITUDE"), _r("LATITUDE", 7).alias("LATITUDE"), "LABEL",
+                      F.lit(path).endswith(F.concat(F.lit("/"), "file")).alias("named"))
+
+
+def q_sample_seeds_many(spark, sf):
+    """As many seeds as the largest model of an elbow has."""
+    p = _prep_lloyd(spark, sf)
+    return sample_seeds(p.df, p.features, max(DEFAULT_KS), LLOYD_SEED).select("idx", "id")
+
+
 def _elbow_facts(spark, sf, dims: int):
     e = PL.kmeans_elbow(_points(spark, sf), dims=dims, ks=DEFAULT_KS, facts=True)
     return e.select("NumOfCluster", "metric", "n_rows", "n_assigned", "n_off_nearest", "within_k",
@@ -584,6 +618,9 @@ QUERIES: dict[str, Query] = {
     "lloyd_elbow": q_lloyd_elbow,
     "kmeans_2d": q_kmeans_2d,
     "kmeans_4d": q_kmeans_4d,
+    "kmeans_reloaded": q_kmeans_reloaded,
+    "csv_geocoded_file": q_csv_geocoded_file,
+    "sample_seeds_many": q_sample_seeds_many,
     "kmeans_elbow_2d": q_kmeans_elbow_2d,
     "kmeans_elbow_4d": q_kmeans_elbow_4d,
     "csv_centroids_2d": q_csv_centroids_2d,
@@ -729,6 +766,7 @@ def oracle() -> dict[str, str]:
         "cost_sse_total": s4 + f"SELECT round(sum(sse), 6) AS sse FROM (SELECT {sse4} AS sse FROM s4 GROUP BY event_type)",
         "sample_seeds": sl + ", " + seeds_sql + "\nSELECT CAST(idx AS INTEGER) AS idx, id, round(f1, 12) AS X_scaled, "
                         "round(f2, 12) AS Y_scaled, round(f3, 12) AS dow_x, round(f4, 12) AS dow_y FROM seeds",
+        "sample_seeds_many": sl + ", " + seeds_sql.replace(f"LIMIT {LLOYD_K}", f"LIMIT {max(DEFAULT_KS)}") + "\nSELECT CAST(idx AS INTEGER) AS idx, id FROM seeds",
         "nearest_centroid": sl + ", " + seeds_sql + ", " + asg_sql + "\nSELECT id, CAST(cluster AS INTEGER) AS cluster FROM asg",
         "nearest_centroid_indexed": sl + ", " + O.line_places_cte(LLOYD_SEED, INDEXED_K) + ", " + asg_sql + "\nSELECT id, CAST(cluster AS INTEGER) AS cluster FROM asg",
         "lloyd_indexed_steps": _lloyd_final_sql(lloyd_cents, [INDEXED_LLOYD_K], 0.0, INDEXED_PASSES - 1),
@@ -753,6 +791,10 @@ def oracle() -> dict[str, str]:
             "SELECT count(*) AS n_rows, count(*) AS n_assigned, CAST(0 AS BIGINT) AS n_off_nearest, true AS within_k, count(*) AS sum_n, "
             "CAST(round(sum(X), 0) AS BIGINT) AS sum_x, CAST(round(sum(Y), 0) AS BIGINT) AS sum_y, "
             "round(sum(dow_x), 4) AS sum_dow_x, round(sum(dow_y), 4) AS sum_dow_y FROM clean4"),
+        "kmeans_reloaded": base + (
+            "SELECT count(*) AS n_rows, count(*) AS n_assigned, CAST(0 AS BIGINT) AS n_differing, CAST(0 AS BIGINT) AS n_off_nearest, true AS within_k, "
+            + ", ".join(f"round({end}({f}), 9) AS {name}_{f}" for f in ("X", "Y", "dow_x", "dow_y") for end, name in (("min", "lo"), ("max", "hi")))
+            + " FROM clean4"),
         **{f"kmeans_elbow_{d}d": base + (
             "SELECT CAST(k AS INTEGER) AS NumOfCluster, 'sum_distance' AS metric, n AS n_rows, n AS n_assigned, "
             f"CAST(0 AS BIGINT) AS n_off_nearest, true AS within_k, true AS cost_ok FROM (SELECT count(*) AS n FROM clean{d}), "
@@ -795,11 +837,12 @@ def oracle() -> dict[str, str]:
         "tile_of_lonlat_uniq": lonlat + (
             f"SELECT tile, min(id) AS first_id, count(*) AS n FROM (SELECT id, {O.rollup_sql(tile)[4]} AS tile FROM grid) "
             "WHERE tile IS NOT NULL GROUP BY tile"),
-        **dict.fromkeys(("geocode_centroids", "csv_geocoded"), s2 + (
+        **{name: s2 + (
             f"SELECT round({glon}, 7) AS LONGITUDE, round({glat}, 7) AS LATITUDE, "
-            f"coalesce(label, printf('(%.7f,%.7f)', {glon}, {glat})) AS LABEL FROM ("
+            f"coalesce(label, printf('(%.7f,%.7f)', {glon}, {glat})) AS LABEL{more} FROM ("
             "SELECT round(" + _unscale_sql("avg(X_scaled)", "any_value(lx)", "any_value(hx)") + ", 3) AS x, round("
             + _unscale_sql("avg(Y_scaled)", "any_value(ly)", "any_value(hy)") + ", 3) AS y, "
-            "CASE WHEN event_type <> 'view' THEN event_type END AS label FROM s2, b2 GROUP BY event_type)")),
+            "CASE WHEN event_type <> 'view' THEN event_type END AS label FROM s2, b2 GROUP BY event_type)")
+           for name, more in (("geocode_centroids", ""), ("csv_geocoded", ""), ("csv_geocoded_file", ", true AS named"))},
         "preview": base + "SELECT id, X, Y, Vkpv FROM points WHERE X IS NOT NULL AND NOT isnan(X) AND Y IS NOT NULL ORDER BY id LIMIT 10",
     }

@@ -1,6 +1,7 @@
 """Batch jobs by task number: read the accident file, run the pipeline,
 write the result CSVs into ``out_dir`` under the names users of the original
-jobs expect (see ``OUTPUT_NAMES``)."""
+jobs expect (see ``OUTPUT_NAMES``): plain files, but for the labelled points,
+which are a folder written in parallel."""
 
 from __future__ import annotations
 
@@ -56,6 +57,7 @@ def run_task(spark: SparkSession, task: int, accidents: str, out_dir: str, *,
         write_elbow(PL.lloyd_elbow(pts, ks=ks, tol=2.0, max_iter=50, seed=seed), out[0])
 
 
-def geocode_file(spark: SparkSession, in_path: str, out_path: str) -> None:
-    """``x,y[,label]`` grid coordinates -> ``LONGITUDE,LATITUDE,LABEL``."""
-    write_geocoded(geocode(read_coordinates(spark, in_path)), out_path)
+def geocode_file(spark: SparkSession, in_path: str, out_path: str, one_file: bool = False) -> None:
+    """``x,y[,label]`` grid coordinates -> ``LONGITUDE,LATITUDE,LABEL``, as a
+    folder or, for the few rows of a centroid file, as one plain file."""
+    write_geocoded(geocode(read_coordinates(spark, in_path)), out_path, one_file)
