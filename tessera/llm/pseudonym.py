@@ -67,7 +67,8 @@ def permuted(x: Column, a: Column, b: Column, key: str, kind: str) -> Column:
             F.when(k % 2 == 1, F.pmod(right + F.pmod(keyed(key, kind, k, left), b), b)).otherwise(right).alias("right"),
         )
 
-    start = F.struct(F.floor(x / b).cast("long").alias("left"), F.pmod(x, b).cast("long").alias("right"))
+    # not by a double's division, which rounds cards of 17 digits and more
+    start = F.struct(F.call_function("div", x, b).alias("left"), F.pmod(x, b).cast("long").alias("right"))
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda h: h["left"] * b + h["right"])
 
 
