@@ -23,6 +23,9 @@ ELBOW_SCHEMA = T.StructType([
     T.StructField("metric", T.StringType(), False),
 ])
 
+# Rows of all fits at a time: each fit holds its vectors, some 130 bytes a row.
+HELD_ROWS = 24_000_000
+
 
 FACTS_SCHEMA = T.StructType(ELBOW_SCHEMA.fields + [
     T.StructField("n_rows", T.LongType(), False),
@@ -40,11 +43,13 @@ def elbow_kmeans(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEF
 
     The fits are independent, so up to ``concurrent_fits`` of them are
     submitted from driver threads at once (Spark schedules the concurrent
-    jobs on the same executors). Each fit is seeded and reads the same layout
+    jobs on the same executors), fewer where their vectors would be more than
+    ``HELD_ROWS``. Each fit is seeded and reads the same layout
     by id, so the curve depends neither on the concurrency nor on the cluster.
     Every k predicts once; with ``facts`` the columns of FACTS_SCHEMA follow.
     """
     vec = for_reuse(assemble(df.select(id_col, *features), features), key=id_col)
+    at_once = max(1, min(concurrent_fits, HELD_ROWS // max(1, vec.count())))  # the count fills the cache
 
     def one(k: int):
         model, pred = fit_kmeans(vec, features, k, seed=seed, assembled=True)
@@ -57,7 +62,7 @@ def elbow_kmeans(df: DataFrame, features: Sequence[str], ks: Sequence[int] = DEF
             pred.unpersist()
 
     try:
-        with ThreadPoolExecutor(max_workers=max(1, concurrent_fits)) as pool:
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
             rows = list(pool.map(one, ks))
     finally:
         release(vec)

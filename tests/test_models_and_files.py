@@ -92,3 +92,28 @@ def test_bottom_k_of_few_rows_and_none(spark):
     rows = spark.range(6).selectExpr("id")
     assert [r.id for r in B.bottom_k(rows, ["id"], 9).collect()] == list(range(6))
     assert B.bottom_k(rows.limit(0), ["id"], 9).count() == 0
+
+
+def test_labels_off_the_nearest_centre_are_found():
+    import numpy as np
+    from tessera.operators.kmeans_ml import off_nearest
+
+    rng = np.random.default_rng(3)
+    for base in (0.0, 1e7):
+        pts, centres = base + rng.random((5000, 4)), base + rng.random((37, 4))
+        d2 = ((pts[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        labels = d2.argmin(axis=1)
+        assert not off_nearest(pts, labels, centres).any()
+        labels[::7] = (labels[::7] + 1) % 37
+        assert off_nearest(pts, labels, centres).tolist() == [k % 7 == 0 for k in range(5000)]
+
+
+def test_few_fits_hold_many_rows(spark, monkeypatch):
+    """Fits at a time follow the rows that they hold."""
+    from tessera.operators import elbow
+
+    seen, real = [], elbow.ThreadPoolExecutor
+    monkeypatch.setattr(elbow, "ThreadPoolExecutor", lambda max_workers: seen.append(max_workers) or real(max_workers))
+    monkeypatch.setattr(elbow, "HELD_ROWS", 100)
+    rows = spark.createDataFrame([(k, float(k % 7), float(k % 5)) for k in range(50)], "id long, a double, b double")
+    assert elbow.elbow_kmeans(rows, ["a", "b"], ks=(2, 3)).count() == 2 and seen == [2]
