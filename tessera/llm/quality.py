@@ -15,10 +15,10 @@ frequent there, so that chance finds weigh nothing. A text's toxic score is the
 largest mean log ratio over ``WINDOW`` words in a row, with a threshold of its
 own; a text above it is not kept.
 
-Bounded on purpose (documented parameters): the labelled sample (``SAMPLE``
-rows, by smallest hash of doc_id). Of its ranks a third fits the target and
-the toxic evidence, a third sets the thresholds, and a third is left for
-judging them. The raw counts and the scores cover every row and whole texts.
+All labelled rows take part: of their ranks by a hash of doc_id a third fits the
+target and the toxic evidence, a third sets the thresholds, and a third is left
+for judging them. They stay in tables; the thresholds come from running counts over sorted
+scores. The raw counts and the scores cover every row and whole texts.
 The model is three arrays of BUCKETS doubles (1.5 MB), whatever the corpus size.
 
 Words are compared by 64-bit codes; the counts of repeated windows compare
@@ -38,14 +38,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tessera.llm.common import map_batches
+from tessera.llm.common import map_batches, small_side
 from tessera.llm.words import Words, all_codes, all_prefixes
+from tessera.operators.numbering import numbered
+from tessera.session import Scratch
+from tessera.sources.local import literal_table
 
 BUCKETS = 1 << 16
-SAMPLE = 20_000
+SMALL_ROWS = 1_000_000  # labelled rows that may be broadcast (id and flags)
 MIN_WORDS = 50
 KEEP_OF_TRUSTED = 0.995
 PRIOR = BUCKETS // 8  # n-grams that the raw shares count as in the target
@@ -124,31 +129,33 @@ class Model:
         return score >= self.least and toxic <= self.most
 
 
-def corpus_counts(docs: DataFrame, trusted: set[int], toxic: set[int]) -> DataFrame:
+def corpus_counts(docs: DataFrame, trusted: Column | set[int], toxic: Column | set[int]) -> DataFrame:
     """(bucket, raw, target, raw_rows, toxic_rows): n-gram counts over every
-    row and over the rows of ``trusted``, and the numbers of all rows and of
-    those of ``toxic`` that hold a word's bucket or its beginning's. One dense
-    vector each a task is combined before the shuffle."""
+    row and over the rows that are ``trusted`` (a condition, or ids), and the
+    numbers of all rows and of the ``toxic`` ones that hold a word's bucket or its
+    beginning's. One dense vector each a task is combined before the shuffle."""
+    marks = [which if isinstance(which, Column) else F.col("doc_id").isin(*which) for which in (trusted, toxic)]
 
     def count(batches):
         words = Words()
         total = np.zeros((4, 2 * BUCKETS), np.int64)
         for batch in batches:
-            for doc_id, text in zip(batch.doc_id, batch.text):
+            for text, trusted, toxic in zip(batch.text, batch.trusted, batch.toxic):
                 codes = all_codes(text, words)
                 if not len(codes):
                     continue
                 grams, held = ngram_buckets(codes), np.unique(np.concatenate(word_buckets(text, codes, words)))
                 np.add.at(total[0], grams, 1)
                 total[2][held] += 1
-                if doc_id in trusted:
+                if trusted:
                     np.add.at(total[1], grams, 1)
-                if doc_id in toxic:
+                if toxic:
                     total[3][held] += 1
         used = np.flatnonzero(total.any(axis=0))
         yield dict(zip(("bucket", *COUNTS), (used, *total[:, used])))
 
-    parts = map_batches(docs.select("doc_id", "text"), count, "bucket long, " + ", ".join(f"{c} long" for c in COUNTS), SLICE)
+    marked = docs.select("text", *[F.coalesce(m, F.lit(False)).alias(n) for m, n in zip(marks, ("trusted", "toxic"))])
+    parts = map_batches(marked, count, "bucket long, " + ", ".join(f"{c} long" for c in COUNTS), SLICE)
     return parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
@@ -200,38 +207,65 @@ def threshold(good: np.ndarray, bad: np.ndarray) -> float:
     return float((cut + below.max()) / 2) if len(below) else float(cut) - 1e-9
 
 
+def cut_of(judged: DataFrame, score: str, bad: str, scratch: Scratch) -> float:
+    """:func:`threshold` of a table with the columns ``score``, ``good`` and
+    ``bad``, from running counts over its sorted scores."""
+    each = judged.groupBy(F.col(score).alias("s")).agg(F.count_if("good").alias("g"), F.count_if(bad).alias("b")).where("g + b > 0")
+    each = each.repartitionByRange("s").sortWithinPartitions("s").withColumn("part", F.spark_partition_id())
+    rows = scratch.write(each, f"cuts-{score}")
+    sums = sorted(tuple(r) for r in rows.groupBy("part").agg(F.sum("g"), F.sum("b")).collect())  # one row a partition
+    n_good, n_bad = sum(g for _, g, _ in sums), sum(b for *_, b in sums)
+    if not n_good:
+        return -np.inf
+    starts = [(p, sum(g for _, g, _ in sums[:k]), sum(b for *_, b in sums[:k])) for k, (p, *_) in enumerate(sums)]
+    starts = literal_table(judged.sparkSession, starts, StructType.fromDDL("part int, g0 long, b0 long"))
+    before = W.partitionBy("part").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
+    below = rows.join(F.broadcast(starts), "part").select(
+        "s", "g", *[(F.coalesce(F.sum(c).over(before), F.lit(0)) + F.col(f"{c}0")).alias(f"{c}_below") for c in ("g", "b")])
+    cuts = below.where(F.expr("g > 0") & (F.col("g_below") <= int(np.floor((1 - KEEP_OF_TRUSTED) * n_good))))
+    won = F.col("b_below") / F.lit(float(max(1, n_bad))) - F.col("g_below") / F.lit(float(n_good))
+    cut = cuts.orderBy(won.desc(), "s").first()["s"]
+    lower = rows.where(F.col("s") < F.lit(cut)).agg(F.max("s")).first()[0]
+    return cut - 1e-9 if lower is None else (cut + lower) / 2
+
+
+def placed(labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, good, bad, toxic, place) of every labelled id, its place in the
+    order of the ids' hash."""
+    each = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.expr("quality = 1 AND coalesce(toxic, 0) = 0")).alias("good"), F.max(F.expr("quality = 0")).alias("bad"),
+        F.max(F.expr("coalesce(toxic, 0) = 1")).alias("toxic"))
+    return numbered(each, [F.xxhash64("doc_id"), "doc_id"], "place", scratch, "labels")
+
+
 def labelled(labels: DataFrame) -> list[tuple[int, bool, bool, bool]]:
-    """(doc_id, good, bad, toxic) of the sample, in order of its hash."""
-    sample = (
-        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
-            F.min(F.expr("quality = 1 AND coalesce(toxic, 0) = 0")).alias("good"), F.max(F.expr("quality = 0")).alias("bad"),
-            F.max(F.expr("coalesce(toxic, 0) = 1")).alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    )
-    return [(int(r.doc_id), bool(r.good), bool(r.bad), bool(r.toxic)) for r in sample.collect()]
+    """(doc_id, good, bad, toxic) in order of place, as a list, to judge small label sets by."""
+    rows = placed(labels, Scratch(labels.sparkSession)).orderBy("place").drop("place").collect()
+    return [(int(r.doc_id), bool(r.good), bool(r.bad), bool(r.toxic)) for r in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = labelled(labels)
-    first, second = rows[::3], rows[1::3]  # the last third takes no part
-    trusted, toxic = {d for d, good, *_ in first if good}, {d for d, *_, t in first if t}
+    scratch = Scratch(docs.sparkSession)
+    rows = placed(labels, scratch)
+    # the last third takes no part
+    first, second = [scratch.write(rows.where(F.col("place") % 3 == k).drop("place"), f"third-{k}") for k in range(2)]
+    marked = docs.select("doc_id", "text").join(small_side(first, SMALL_ROWS), "doc_id", "left")
     counts = np.zeros((4, 2 * BUCKETS))
-    for bucket, *found in corpus_counts(docs, trusted, toxic).collect():  # at most 2 * BUCKETS rows
+    for bucket, *found in corpus_counts(marked, F.col("good"), F.col("toxic")).collect():  # at most 2 * BUCKETS rows
         counts[:, bucket] = found
-    model = Model(log_ratios(counts[0, :BUCKETS], counts[1, :BUCKETS]), toxic_odds(counts[2], counts[3], len(toxic)))
-    if not second:
-        return model
-    ids = F.broadcast(docs.sparkSession.createDataFrame(second, "doc_id long, good boolean, bad boolean, toxic boolean"))  # SAMPLE / 3 rows
+    n_toxic = first.where("toxic").count()
+    model = Model(log_ratios(counts[0, :BUCKETS], counts[1, :BUCKETS]), toxic_odds(counts[2], counts[3], n_toxic))
+    ids = small_side(second, SMALL_ROWS)
     judged = scored(docs.join(ids.select("doc_id"), "doc_id", "left_semi"), model).join(ids, "doc_id")
     passed = judged.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    # one score an id, so that repeated rows cannot grow what is collected
-    got = passed.groupBy("doc_id").agg(
-        F.min("score").alias("score"), F.max("toxic_score").alias("toxic_score"), *[F.min(c).alias(c) for c in ("good", "bad", "toxic")]).collect()
-    good = [r for r in got if r.good]
-    model.least = threshold(np.array([r.score for r in good]), np.array([r.score for r in got if r.bad]))
-    found = np.array([-r.toxic_score for r in got if r.toxic])
-    if len(found):
-        model.most = -threshold(np.array([-r.toxic_score for r in good]), found)
+    # one score an id, however often its row is repeated
+    passed = passed.groupBy("doc_id").agg(
+        F.min("score").alias("score"), (-F.max("toxic_score")).alias("mild"), *[F.min(c).alias(c) for c in ("good", "bad", "toxic")])
+    passed = scratch.write(passed, "judged")
+    model.least = cut_of(passed, "score", "bad", scratch)
+    if not passed.where("toxic").isEmpty():
+        model.most = -cut_of(passed, "mild", "toxic", scratch)
+    scratch.drop(*list(scratch.paths))
     return model
 
 

@@ -139,3 +139,29 @@ def test_long_texts_in_parts_give_the_same(monkeypatch):
     few = words.Words()
     codes = all_codes(text, few)
     assert len(codes) == 902 and codes.tolist() == whole[0] and quality.word_buckets(text, codes, few)[1].tolist() == whole[1]
+
+
+def test_every_label_takes_part(spark):
+    """More labels than any sample: all have a place, and cuts of a table are those of the arrays."""
+    from tessera.session import Scratch
+
+    scratch = Scratch(spark)
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "CAST(id % 5 > 0 AS INT) AS quality", "CAST(id % 11 = 0 AS INT) AS toxic")
+    places = quality.placed(labels, scratch).toPandas()
+    assert sorted(places.place) == list(range(30_000)) and sorted(places.doc_id) == list(range(30_000))
+    judged = labels.selectExpr("round(sin(doc_id) + 2 * quality, 3) AS score", "quality = 1 AND toxic = 0 AS good", "quality = 0 AS bad")
+    rows = judged.repartition(7).toPandas()
+    for some in (judged, judged.where("score > 2.9 OR bad"), judged.where("good").limit(3), judged.where("bad")):
+        rows = some.toPandas()
+        assert quality.cut_of(some, "score", "bad", scratch) == quality.threshold(rows[rows.good].score.to_numpy(), rows[rows.bad].score.to_numpy())
+
+
+def test_the_fit_reads_the_table_of_labels(spark, monkeypatch):
+    """No list of labelled rows in the driver."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    monkeypatch.setattr(quality, "labelled", None)
+    model = quality.fit(docs, labels)
+    monkeypatch.setattr(quality, "SMALL_ROWS", 0)  # the same by shuffled joins
+    again = quality.fit(docs, labels)
+    assert (model.ratios == again.ratios).all() and (model.odds == again.odds).all() and (model.least, model.most) == (again.least, again.most)
