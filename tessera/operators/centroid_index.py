@@ -155,9 +155,9 @@ def _meet(points: DataFrame, index: CentroidIndex) -> DataFrame:
     return stream.mapInPandas(compare, fields + ", d2 double, idx long")
 
 
-def labels(rows: DataFrame, index: CentroidIndex) -> DataFrame:
+def labels(rows: DataFrame, index: CentroidIndex, keep: bool = False) -> DataFrame:
     """(_row, idx) of the nearest centroid of every row of ``rows`` (_row,
-    features) without a missing feature."""
+    features) without a missing feature; with ``keep`` also the features."""
     features, scratch = index.features, index.scratch
     pivots, radius, first = index.pivots, index.radius, index.first_leaf
     nearest_rows, matrix = L._kernel_functions(BLOCK_VALUES)[1], _matrix
@@ -193,23 +193,28 @@ def labels(rows: DataFrame, index: CentroidIndex) -> DataFrame:
     begun = scratch.write(_meet(rows.withColumn("leaf", own_leaf("_row", coordinates)), index), "met")
     spread = scratch.write(begun.withColumn("more", open_leaves("leaf", "d2", coordinates)), "open")
     probes = spread.where("size(more) > 0").select("_row", F.explode("more").alias("leaf"), *features)
-    wider = _meet(probes, index).select("_row", "d2", "idx")
-    best = F.min(F.struct("d2", "idx")).alias("b")
-    again = spread.where("size(more) > 0").select("_row", "d2", "idx").unionByName(wider).where("idx IS NOT NULL").groupBy("_row").agg(best)
-    found = spread.where("size(more) = 0").select("_row", "idx").unionByName(again.select("_row", F.col("b.idx").alias("idx")))
+    kept = ["idx", *features] if keep else ["idx"]
+    wider = _meet(probes, index).select("_row", "d2", *kept)
+    best = F.min(F.struct("d2", *kept)).alias("b")
+    again = spread.where("size(more) > 0").select("_row", "d2", *kept).unionByName(wider).where("idx IS NOT NULL").groupBy("_row").agg(best)
+    found = spread.where("size(more) = 0").select("_row", *kept).unionByName(again.select("_row", *[F.col("b")[c].alias(c) for c in kept]))
     out = scratch.write(found, "labels")
     scratch.drop("met", "open", "parts")
     return out
 
 
+def whole_rows(numbered_: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(_row, features) of the rows without a missing feature."""
+    whole = [F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in features]
+    rows = numbered_.select("_row", *[F.col(f).cast("double").alias(f) for f in features], *[w.alias(f"_w{j}") for j, w in enumerate(whole)])
+    return rows.where(" AND ".join(f"_w{j}" for j in range(len(whole)))).select("_row", *features)
+
+
 def assign_indexed(df: DataFrame, features: Sequence[str], index: CentroidIndex, out: str = "cluster") -> DataFrame:
     """``df`` with the index of its nearest centroid; null where a feature is
     null or NaN."""
     numbered_ = index.scratch.write(df.withColumn("_row", F.monotonically_increasing_id()), "points")
-    whole = [F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in features]
-    rows = numbered_.select("_row", *[F.col(f).cast("double").alias(f) for f in features], *[w.alias(f"_w{j}") for j, w in enumerate(whole)])
-    rows = rows.where(" AND ".join(f"_w{j}" for j in range(len(whole)))).select("_row", *features)
-    found = labels(rows, index).select("_row", F.col("idx").cast("int").alias(out))
+    found = labels(whole_rows(numbered_, features), index).select("_row", F.col("idx").cast("int").alias(out))
     return numbered_.drop(out).join(found, "_row", "left").drop("_row")
 
 
@@ -250,9 +255,12 @@ def lloyd_indexed(points: DataFrame, features: Sequence[str], k: int | None = No
         cents = centroid_table(spark, init, features) if init is not None else seed_table(pts, features, k, seed, id_col, scratch)
         cents = scratch.write(cents, "centroids-0")
         units, history, it = L.unit_exponents(pts, features), [], 1
+        # numbered and written once; the labels bring the features, so that no pass joins its points
+        rows = scratch.write(whole_rows(pts.withColumn("_row", F.monotonically_increasing_id()), features), "points")
         while True:
             index = build(cents, features, Scratch(spark))
-            stats = L.update_stats(assign_indexed(pts, features, index), features, "cluster", units)
+            found = labels(rows, index, keep=True).withColumnRenamed("idx", "cluster")
+            stats = L.update_stats(found, features, "cluster", units)
             new = {f: f"_new_{f}" for f in features}
             stats = scratch.write(stats.select(F.col("cluster").cast("long").alias("idx"), "n", "sse", *[F.col(f).alias(n) for f, n in new.items()]), f"stats-{it}")
             moved = cents.join(stats, "idx", "left").withColumns({n: F.coalesce(n, f) for f, n in new.items()})

@@ -124,3 +124,14 @@ def test_infinite_values_raise(spark):
     df = spark.createDataFrame([(1, float("inf"))], "id long, a double")
     with pytest.raises(ValueError):
         L.lloyd(df, ["a"], init=[(0.0,)])
+
+
+def test_points_are_numbered_once_a_run(spark, monkeypatch):
+    names, write = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name, **options: names.append((name, df.columns)) or write(self, df, name, **options))
+    df = _points(spark, 200)
+    res = L.lloyd(df, ["a", "b"], k=5, tol=0.0, max_iter=1, method="index")
+    assert res.passes == 2 and [n for n, _ in names].count("points") == 1
+    assert all(columns == ["_row", "idx", "a", "b"] for n, columns in names if n == "labels")
+    plain = L.lloyd(df, ["a", "b"], k=5, tol=0.0, max_iter=1)
+    assert [tuple(r) for r in res.frame(spark, ["a", "b"]).orderBy("cluster").collect()] == [(i, n, *c) for i, (n, c) in enumerate(zip(plain.sizes, plain.centroids))]
