@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import words as w
-from tessera.llm.common import map_batches, small_side
+from tessera.llm.common import batches_of, map_batches, small_side
 from tessera.llm.words import Words, cut
 from tessera.session import Scratch
 
@@ -50,6 +50,7 @@ MOST = 1 << 29  # cells of the sketch
 LEAST = 1 << 22
 BYTES_A_WORD = 6
 SLICE = 1 << 20  # bytes of rows held as Python values at a time
+BATCH = 1 << 22  # bytes of rows that Spark sends to a task's Python at a time
 HELD = 1 << 20  # windows a task sketches before it sends their cells
 SMALL_ROWS = 1_000_000  # spans, or names of copies, that may be broadcast (some 24 MB)
 NAMES = 100_000  # names of repeated windows that may be broadcast (some 2 MB)
@@ -309,7 +310,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
     whether the text occurs twice."""
     texts, scratch = named(docs), Scratch(docs.sparkSession)
     one, twice = one_of_copies(texts, scratch)
-    spans = repeated_spans(one, scratch)
+    with batches_of(docs.sparkSession, BATCH):
+        spans = repeated_spans(one, scratch)
     n = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
     both = texts.join(F.broadcast(spans) if n <= SMALL_ROWS else spans, ["t1", "t2"], "left")
     both = both.join(F.broadcast(twice.select("t1", "t2", F.lit(True).alias("copy"))), ["t1", "t2"], "left")
@@ -363,4 +365,6 @@ def dedup_windows(docs: DataFrame) -> DataFrame:
                 rows.append((doc_id, n, gone, hashlib.sha256(b" ".join(kept)).hexdigest()))
             yield rows
 
-    return map_batches(with_spans(docs), digest, RESULT, SLICE)
+    found = with_spans(docs)
+    with batches_of(docs.sparkSession, BATCH):
+        return Scratch(docs.sparkSession).write(map_batches(found, digest, RESULT, SLICE), "digests")

@@ -107,3 +107,27 @@ def test_kept_words_and_texts(spark, docs):
 
 def test_empty_table(empty):
     assert repeats.dedup_windows(empty).count() == 0
+
+
+def test_python_gets_bounded_batches(spark, monkeypatch):
+    """Long rows come by the bytes, not by 10000; the setting is as before afterwards."""
+    from tessera.llm import common
+
+    plain, sizes = repeats.map_batches, []
+
+    def watched(df, work, schema, *rest):
+        def measure(batches):
+            for batch in batches:
+                yield type(batch).from_pydict({"n": [batch.nbytes]})
+
+        sizes.extend(r.n for r in df.mapInArrow(measure, "n long").collect())
+        return plain(df, work, schema, *rest)
+
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(20_000))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(repeats, "map_batches", watched)
+    before = spark.conf.get(common.BATCH_BYTES, None)
+    found = repeats.dedup_windows(docs).collect()
+    assert spark.conf.get(common.BATCH_BYTES, None) == before
+    assert len(found) == 60 and not any(r.n_removed for r in found)
+    assert 0 < max(sizes) <= 2 * repeats.BATCH
