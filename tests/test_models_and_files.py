@@ -117,3 +117,34 @@ def test_few_fits_hold_many_rows(spark, monkeypatch):
     monkeypatch.setattr(elbow, "HELD_ROWS", 100)
     rows = spark.createDataFrame([(k, float(k % 7), float(k % 5)) for k in range(50)], "id long, a double, b double")
     assert elbow.elbow_kmeans(rows, ["a", "b"], ks=(2, 3)).count() == 2 and seen == [2]
+
+
+def test_elbow_fits_meet_neighbours_together(spark, monkeypatch):
+    """Rows of one region follow each other, none is lost, and the largest
+    models go first; the curve is in the order that was asked for."""
+    from tessera.operators import elbow
+
+    rows = [(k, float(k * 7919 % 1009), float(k * 104729 % 997) - 1e3) for k in range(4000)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    seen, plain = [], elbow.fit_kmeans
+
+    def kept(vec, features, k, **more):
+        seen.append((k, vec.rdd.mapPartitions(lambda part: [[(r.id, r.a, r.b) for r in part]]).collect()))
+        return plain(vec, features, k, **more)
+
+    monkeypatch.setattr(elbow, "fit_kmeans", kept)
+    got = elbow.elbow_kmeans(df, ["a", "b"], ks=(3, 2, 5), concurrent_fits=1).collect()
+    assert [r.NumOfCluster for r in got] == [3, 2, 5] and [k for k, _ in seen] == [5, 3, 2]
+    parts = seen[0][1]
+    assert all(p == parts for _, p in seen) and sorted(r for p in parts for r in p) == rows
+    way = lambda p: sum(abs(x[1] - y[1]) + abs(x[2] - y[2]) for x, y in zip(p, p[1:]))
+    for p in parts:
+        assert way(p) < 0.75 * way(sorted(p))
+
+
+def test_elbow_of_constant_features(spark):
+    from tessera.operators.elbow import elbow_kmeans
+
+    rows = spark.createDataFrame([(k, 3.0, float(k % 4)) for k in range(40)], "id long, a double, b double")
+    got = elbow_kmeans(rows, ["a", "b"], ks=(2, 4), facts=True).collect()
+    assert [(r.n_rows, r.n_assigned, r.n_off_nearest, r.within_k) for r in got] == [(40, 40, 0, True)] * 2
